@@ -7,15 +7,20 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmine.llm import decontaminate, mixing, pii, simhash, toxicity
-from quillmine.llm.shared import use_checkpoint_dir
+from quillmine.operators.lineage import use_checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _row_key(id_col: str, text_hash: Column) -> Column:
+    """A row's id and text hash as one text, never null, so that joins and windows on it share a shuffle."""
+    return F.concat_ws(":", F.col(id_col).cast("string"), text_hash.cast("string")).alias("_key")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model finds toxic go."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -26,19 +31,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of each component stays: that of the smallest doc_id, and of its rows one of the smallest text hash."""
     found = simhash.near_duplicates(docs)
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    kept = found.groupBy("component_id").agg(F.min(lead).alias("lead")).select(F.col("lead.doc_id").alias("k"), F.col("lead.text_hash").alias("h"))
-    keyed = docs.select(*COLUMNS, F.xxhash64("text").alias("_h"))
-    there = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["k"]) & (keyed["_h"] == kept["h"]), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id", "_h").orderBy("source", "lang", "n_chars"))
+    kept = found.groupBy("component_id").agg(F.min(lead).alias("lead")).select(_row_key("lead.doc_id", F.col("lead.text_hash")))
+    there = docs.select(*COLUMNS, _row_key("doc_id", F.xxhash64("text"))).join(kept, "_key", "left_semi")
+    first = F.row_number().over(Window.partitionBy("_key").orderBy("source", "lang", "n_chars"))
     return there.withColumn("_n", first).where("_n = 1").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of ten words of a benchmark item (or a shorter item whole) go."""
     found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("k"), F.col("text_hash").alias("h")).distinct()
-    keyed = docs.select(*COLUMNS, F.xxhash64("text").alias("_h"))
-    return keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["k"]) & (keyed["_h"] == gone["h"]), "left_anti").select(*COLUMNS)
+    gone = found.where(F.size("hits") > 0).select(_row_key("doc_id", F.col("text_hash"))).distinct()
+    return docs.select(*COLUMNS, _row_key("doc_id", F.xxhash64("text"))).join(gone, "_key", "left_anti").select(*COLUMNS)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lineage import cut
 from . import textbytes as tb
-from .shared import cut
 
 GRAM, WINDOW = 5, 10
 SIDE = WINDOW - GRAM

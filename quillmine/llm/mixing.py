@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from ..operators.lineage import cut
 
 #: Size classes per doubling of the size.
 CLASSES = 16

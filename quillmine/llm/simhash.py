@@ -21,7 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from ..operators.graph import components
+from ..operators.lineage import cut
 
 BITS, RADIUS = 64, 2
 BUCKET = 1024
@@ -193,26 +194,6 @@ def links(fps: DataFrame) -> DataFrame:
     return buckets.repartition("deal", "key").sortWithinPartitions("deal", "key").mapInArrow(_bucket_edges, "fp long, root long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` for every node of the undirected ``edges`` (columns u, v): root is the smallest node that it reaches.
-
-    Alternating large-star and small-star rounds; each round is checkpointed.
-    """
-    now = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
-    seen = None
-    while True:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
-        now = cut(small.select("e.u", "e.v").where("u <> v").distinct())
-        sign = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if sign == seen or not sign[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = sign
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """``doc_id, text_hash, fp, component_id`` of every row.
 
