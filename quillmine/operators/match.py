@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import ids
 
 # Markers of strains that cannot be resolved.
-UNRESOLVED = ["not specified", "unspecified", "various", "multiple", "several", "unknown"]
+UNRESOLVED = ["not specified", "unspecified", "exact designation not", "exact strain", "not in abstract", "not individually specified"]
 STATUSES = ["not_checked", "no_genome_found", "exact_strain_match", "multiple_possible_matches", "species_only_match"]
 
 

@@ -20,7 +20,7 @@ from ..functions import ids, markup, scoring
 PACE_S = {"default": 0.2, "eutils": 0.34, "eutils_with_key": 0.11}
 TRIES, BACKOFF_S = {"json": 3, "text": 3, "binary": 2}, 1.5
 # Section types of full-text passages and their buckets.
-SECTION_BUCKETS = {"METHODS": "METHODS", "RESULTS": "RESULTS", "SUPPL": "SUPPLEMENT", "ABSTRACT": "ABSTRACT", "TITLE": "TITLE"}
+SECTION_BUCKETS = {"METHODS": "METHODS", "RESULTS": "RESULTS", "RESULTS_AND_DISCUSSION": "RESULTS", "SUPPL": "SUPPLEMENT", "SUPPLEMENTARY_MATERIAL": "SUPPLEMENT", "ABSTRACT": "ABSTRACT", "TITLE": "TITLE"}
 
 CACHE = "url_sha256 string, url string, kind string, body string"
 

@@ -57,7 +57,7 @@ def test_accessions(spark):
 def test_strains_and_names(spark):
     assert values(spark, ["Escherichia coli K-12, and Bacillus subtilis", "Vibrio", "a b / c", None, "x y and z w"], ids.binomial) == ["Escherichia coli", "Vibrio", "a b", "", "x y"]
     assert values(spark, ["K-12 (lab)", "(x)", None], ids.strain_token) == ["K-12", "", ""]
-    assert values(spark, ["K-12", "", "N/A", "various strains", None], lambda c: ids.strain_resolvable(c, match.UNRESOLVED)) == [True, False, False, False, False]
+    assert values(spark, ["K-12", "", "N/A", "Unspecified strain", None], lambda c: ids.strain_resolvable(c, match.UNRESOLVED)) == [True, False, False, False, False]
 
 
 REPLIES = [
@@ -308,3 +308,16 @@ def test_scores(spark):
     assert values(spark, ["three  strains", "ten strain", "strains", "12 STRAINS of"], lambda c: c.rlike(scoring.MULTI_STRAIN)) == [True, True, False, True]
     assert values(spark, ["METHODS", "intro", None, "suppl"], lambda c: scoring.bucket_of(c, responses.SECTION_BUCKETS)) == ["METHODS", "OTHER", "OTHER", "SUPPLEMENT"]
     assert reports.backlog(spark.createDataFrame([(5, 7, 2)], "n_a long, n_b long, n_c long"), ["a", "b", "c"]).first().largest_backlog == 5
+
+
+def test_vocabulary(spark):
+    from quillmine.functions import vocabulary as v
+
+    assert [len(v.SENTENCE_LEXICON[c]) for c in v.SENTENCE_LEXICON] == [45, 8, 11, 28, 32, 14, 22, 39]
+    got = values(spark, ["No transformants of strain ΔrecA (DSM 14401, SAMN12345678) were found.", "growth"], lambda c: F.map_keys(lexicon.tag(c, v.SENTENCE_LEXICON)))
+    assert got == [["manipulation", "strain", "failure", "not_wild_type"], ["strain", "wild_type"]]
+    assert values(spark, ["DSM 14401, SAMN12345678"], lambda c: F.map_keys(ids.accessions(c, v.ACCESSIONS))) == [["wgs_master", "biosample"]]
+    assert values(spark, ["Genetic tools for marine bacteria", "Marine bacteria", None], v.relevant_review) == [True, False, False]
+    df = spark.createDataFrame([("A genetic system", "By electroporation and conjugation no colonies; transformants obtained")], "t string, a string")
+    assert df.select(scoring.abstract_score(F.col("t"), F.col("a"), v.PHRASES)).first()[0] == 6 + 6 + 4 + 3
+    assert values(spark, ["CRISPRi and mating", "x"], lambda c: lexicon.first_category(c, v.TECHNIQUES)) == ["conjugation", "other"]
