@@ -87,3 +87,17 @@ def observation_ids(curated: DataFrame, paper_col: str = "paper_id", observation
 
     each = curated.select(paper_col, F.posexplode(observations_col).alias("i", "o"))
     return each.select(child_id(F.col(paper_col), "OBS", F.col("i") + 1).alias("observation_id"), paper_col, "o.*")
+
+
+def modified(spark: SparkSession, path: str) -> int | None:
+    """The time of the last change of a path, in milliseconds; None if it does not exist."""
+    if not exists(spark, path):
+        return None
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).getModificationTime()
+
+
+def stale(spark: SparkSession, derived: str, source: str) -> bool:
+    """Whether a derived table is missing or older than its source."""
+    made, changed = modified(spark, derived), modified(spark, source)
+    return made is None or (changed is not None and made < changed)
