@@ -26,7 +26,7 @@ BUCKETS, DIM, SIZES = 1 << 15, 16, (2, 3, 4)
 SAMPLE_PER_LANGUAGE, SAMPLE_ROWS = 1500, 12_000
 RELIABLE = 0.99
 _SNIPPET = 160
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
 #: ASCII letters in lower case, other ASCII as a blank, all else as it is.
 _FOLDED = np.array([b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)], np.uint8)
 
@@ -64,6 +64,11 @@ def mean_vectors(column: pa.Array, table: np.ndarray) -> np.ndarray:
     return out
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text holds a character of Unicode category L."""
+    return bool(text) and (bool(_ASCII_LETTER.search(text)) or (not text.isascii() and any(map(str.isalpha, text))))
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     p = np.exp(x - x.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
@@ -143,7 +148,7 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
                 h = mean_vectors(column, table)
                 p = _softmax(((h if direct else h @ m["w"]) + m["b"]) * m["scale"])
                 best, score = p.argmax(1), p.max(1)
-                able = np.fromiter((bool(_LETTER.search(t.as_py() or "")) for t in column), bool, batch.num_rows)
+                able = np.fromiter((has_letter(t.as_py()) for t in column), bool, batch.num_rows)
             else:
                 best, score, able = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
             names = [m["names"][k] if ok else "und" for k, ok in zip(best, able, strict=True)]

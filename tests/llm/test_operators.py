@@ -103,6 +103,7 @@ def test_langid(spark, docs, odd):
     rows = langid.identify(odd.withColumn("score", F.lit("x")), model).collect()
     assert [r.lang_pred for r in rows[:4]] == ["und"] * 4 and all(r.lang_pred in model["names"] for r in rows[4:7]) and len(rows) == odd.count()
     assert langid.identify(odd, langid.train(odd.limit(0))).where("lang_pred <> 'und'").count() == 0
+    assert [langid.has_letter(t) for t in (None, "", "12 _!", "²½", "ß", "a", "日")] == [False] * 4 + [True] * 3
     long = " ".join(docs.where("lang = 'de'").limit(200).toPandas()["text"])
     table = (model["table"] @ model["w"]).astype(np.float32)
     import pyarrow as pa
