@@ -117,12 +117,18 @@ class Search:
         rows, cols = self.q.rows[a], self.p.rows[b]
         self.pairs += len(rows) * len(cols)
         found = self.q.x[rows] @ self.p.x[cols].T
+        # only queries that some point reaches, and of the points only those that reach some query
+        reached = found >= self.score[rows, -1][:, None]
+        some, which = reached.any(1), reached.any(0)
+        if not some.any():
+            return
+        rows, cols, found = rows[some], cols[which], found[some][:, which]
         ids = np.broadcast_to(self.p_ids[cols], found.shape)
         found = np.where(ids == self.q_ids[rows][:, None], -np.inf, found)
         score, every = np.concatenate([self.score[rows], found], axis=1), np.concatenate([self.ids[rows], ids], axis=1)
         order = np.lexsort((every, -score), axis=1)[:, : self.k]
         self.score[rows], self.ids[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(every, order, 1)
-        self.worst[a] = self.score[rows, -1].min()
+        self.worst[a] = self.score[self.q.rows[a], -1].min()
 
 
 def quantised(embedding: Column) -> Column:
