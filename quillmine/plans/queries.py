@@ -25,7 +25,7 @@ def query(f):
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return shapes.documents(spark, sf_dir)
 
 
 def _bar(col: str):

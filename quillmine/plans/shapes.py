@@ -17,13 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt out if their file gives fewer partitions than there are cores (never so for a large table)."""
+    docs = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
 def title(text: str = "text"):
     return F.left(F.coalesce(F.col(text), F.lit("")), F.lit(120))
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Papers from documents: doi from a hash of the text (blank in every third row), year and routes from the id."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     doi = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("10.5555/"), F.left(F.md5(F.coalesce("text", F.lit(""))), F.lit(10))))
     routes = F.array_compact(F.array(F.when(F.col("doc_id") % 7 == 0, F.lit("negative_keyword")), F.when(F.col("doc_id") % 11 == 0, F.lit("organism_specific")), F.when(F.col("doc_id") % 5 == 0, F.lit("review_reference")), F.lit("broad_keyword")))
     return docs.select(
@@ -45,7 +52,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages from documents' lines; their buckets take turns."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     rows = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "text"))
     return rows.select("doc_id", F.element_at(F.array(*map(F.lit, BUCKETS)), F.col("pos") % 4 + 1).alias("bucket"), (F.col("pos") + 1).alias("paragraph"), "pos", "text")
 
