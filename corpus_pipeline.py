@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillmine.llm import decontaminate, mixing, pii, simhash, toxicity
+from quillmine.llm import decontaminate, mixing, nearcopies, pii, toxicity
 from quillmine.operators.lineage import use_checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,10 +28,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component stays: that of the smallest doc_id, and of its rows one of the smallest text hash."""
-    found = simhash.near_duplicates(docs)
+    """One row of each component of near copies stays: that of the smallest doc_id, and of its rows one of the smallest text hash."""
+    found = nearcopies.near_copies(docs)
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    kept = found.groupBy("component_id").agg(F.min(lead).alias("lead")).select(_row_key("lead.doc_id", F.col("lead.text_hash")))
+    kept = found.groupBy("component").agg(F.min(lead).alias("lead")).select(_row_key("lead.doc_id", F.col("lead.text_hash")))
     there = docs.select(*COLUMNS, _row_key("doc_id", F.xxhash64("text"))).join(kept, "_key", "left_semi")
     first = F.row_number().over(Window.partitionBy("_key").orderBy("source", "lang", "n_chars"))
     return there.withColumn("_n", first).where("_n = 1").select(*COLUMNS)
