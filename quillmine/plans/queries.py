@@ -345,10 +345,13 @@ def seed_tagging(spark, sf_dir):
 
 
 def _article(spark, sf_dir) -> DataFrame:
-    """Articles from documents: two sections, a figure to be passed over, a table that cites two references, and a broken one now and then."""
-    lines = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), "[<>&]", " "), "\n", -1)
-    first, second = F.element_at(lines, 1), F.coalesce(F.try_element_at(lines, F.lit(2)), F.lit(""))
-    head = F.concat(F.lit("<article><body><sec><title>Methods</title><p>"), first, F.lit("</p><fig><p>left out</p></fig></sec><sec><title>Results</title><p>"), second, F.lit("</p></sec>"))
+    """Articles from documents: a section for each line, titles taking turns, a figure to be passed over, a table that cites two references, and a broken one now and then.
+
+    Markup and characters that XML forbids become spaces.
+    """
+    clean = F.regexp_replace(F.coalesce("text", F.lit("")), r"[<>&]|[^\t\n\r\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]", " ")
+    section = lambda line, i: F.concat(F.lit("<sec><title>"), F.when(i % 2 == 0, "Methods").otherwise("Results"), F.lit("</title><p>"), line, F.lit("</p>"), F.when(i == 0, "<fig><p>left out</p></fig>").otherwise(""), F.lit("</sec>"))
+    head = F.concat(F.lit("<article><body>"), F.array_join(F.transform(F.split(clean, "\n", -1), section), ""))
     cited = F.concat(F.lit('<table-wrap><label>T1</label><tr><th>no reference</th></tr><tr><td><italic>Genus sp</italic> x</td><td>see <xref ref-type="bibr" rid="r1">1</xref><xref ref-type="bibr" rid="r2">2</xref></td></tr></table-wrap></body><back><ref id="r1"><pub-id pub-id-type="doi">10.5555/'), F.col("doc_id").cast("string"), F.lit('</pub-id><article-title>First</article-title><year>1999</year></ref><ref id="r2"><source>Book</source></ref></back></article>'))
     return _docs(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 10 == 9, F.concat(head, F.lit("<broken"))).otherwise(F.concat(head, cited)).alias("xml"))
 
