@@ -131,6 +131,26 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, segment:
     return many_span_hashes(data, starts, [ends], segment)[0]
 
 
+def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each span's bytes are those of the span ``starts[other], ends[other]``, compared byte by byte."""
+    size = ends - starts
+    same = size == size[other]
+    of = np.flatnonzero(same & (other != np.arange(len(starts))))
+    lo = 0
+    total = np.cumsum(size[of])
+    while lo < len(of):  # about CHUNK bytes at once
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + CHUNK, side="right")))
+        part = of[lo:hi]
+        n = size[part]
+        first = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(first, n)
+        equal = data[np.repeat(starts[part], n) + step] == data[np.repeat(starts[other[part]], n) + step]
+        wrong = np.add.reduceat(~equal, first, dtype=np.int64) > 0 if len(equal) else np.zeros(0, bool)
+        same[part[wrong]] = False
+        lo = hi
+    return same
+
+
 def row_sums(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sums of ``values`` (1 or 2 dimensions) by ascending row number, zeros where a row has none."""
     out = np.zeros((n, *values.shape[1:]), np.float64)

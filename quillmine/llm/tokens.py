@@ -1,9 +1,12 @@
 """Token counts without token ids: pieces are counted once for each distinct pre-token, then joined to documents' frequencies.
 
 A byte-level BPE splits a text into pre-tokens and encodes each by itself, so a text's count is the sum, over its
-distinct pre-tokens, of frequency times pieces. Pre-tokens are found on the UTF-8 bytes, many texts at a time; their 64-bit hashes and
-frequencies by document form one table, (hash, pieces) of the distinct pre-tokens seen in the task another, joined by sorted
-search. Only a pre-token that the task has not met goes to the tokenizer; a full table (KNOWN rows) is emptied and filled again.
+distinct pre-tokens, of frequency times pieces. Pre-tokens are found on the UTF-8 bytes, many texts at a time, and grouped by a
+64-bit hash whose groups are then compared byte by byte: a span that only shares its group's hash is looked up by itself. The
+task's table of distinct pre-tokens (bytes to pieces) is joined to these frequencies by the bytes, so no hash decides a count.
+
+The table has two generations of at most KNOWN / 2 pre-tokens each. When the younger is full it becomes the older one and the older one is
+forgotten, so memory is bounded and a pre-token is encoded again only if the task met KNOWN / 2 others since it was last seen.
 Frequencies of all documents and distinct pre-tokens would be a shuffle larger than the texts; a join in each task needs none.
 
 Texts with characters outside U+0000-U+024F, with the tokenizer's special strings, or with rare blanks are counted in the same
@@ -25,7 +28,7 @@ from pyspark.sql import types as T
 from . import textbytes as tb
 
 LIMIT = 1024
-#: Rows of a task's table of distinct pre-tokens.
+#: Rows of a task's table of distinct pre-tokens, in two generations.
 KNOWN = 1 << 20
 
 _LETTER, _NUMBER, _OTHER, _BLANK, _SPACE = 1, 2, 3, 4, 5
@@ -98,34 +101,36 @@ def pretokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class Counts:
-    """Pieces of distinct pre-tokens, by hash, for one task."""
+    """Pieces of distinct pre-tokens, by their UTF-8 bytes, for one task."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.hashes, self.pieces = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.words: dict[str, int] = {}
-
-    def _encode(self, texts: list[str]) -> np.ndarray:
-        return np.array([len(self.tokenizer.encode(t, add_special_tokens=False)) for t in texts], np.int64)
-
-    def of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """Pieces of each span, whose distinct ``hashes`` ascend."""
-        if len(self.hashes) + len(hashes) > KNOWN:
-            self.hashes, self.pieces = self.hashes[:0], self.pieces[:0]
-        at = np.searchsorted(self.hashes, hashes)
-        known = np.zeros(len(hashes), bool)
-        if len(self.hashes):
-            known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes
-        out = np.empty(len(hashes), np.int64)
-        out[known] = self.pieces[at[known]]
-        new = np.flatnonzero(~known)
-        out[new] = self._encode([data[starts[i] : ends[i]].tobytes().decode("utf-8") for i in new])
-        self.hashes = np.insert(self.hashes, at[new], hashes[new])
-        self.pieces = np.insert(self.pieces, at[new], out[new])
-        return out
+        self.young: dict[bytes, int] = {}
+        self.old: dict[bytes, int] = {}
+        #: Pre-tokens that went to the tokenizer.
+        self.encoded = 0
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """Pieces of each of some distinct pre-tokens."""
+        out = [self.young.get(w, 0) for w in words]
+        missing = [i for i, n in enumerate(out) if not n]
+        new = []
+        for i in missing:
+            if n := self.old.get(words[i], 0):
+                out[i] = n
+            else:
+                new.append(i)
+        self.encoded += len(new)
+        for i in new:
+            out[i] = len(self.tokenizer.encode(words[i].decode("utf-8"), add_special_tokens=False))
+        for i in missing:
+            if 2 * len(self.young) >= KNOWN:
+                self.old, self.young = self.young, {}
+            self.young[words[i]] = out[i]
+        return np.array(out, np.int64)
 
     def slow(self, text: str) -> int:
         """One text's count from the tokenizer's own pre-tokens; special strings count as the tokenizer takes them."""
@@ -136,11 +141,7 @@ class Counts:
                 total += 1
                 continue
             freq = Counter(part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)) if part else {}
-            if len(self.words) + len(freq) > KNOWN:
-                self.words.clear()
-            new = [w for w in freq if w not in self.words]
-            self.words.update(zip(new, self._encode(new).tolist(), strict=True))
-            total += sum(n * self.words[w] for w, n in freq.items())
+            total += int(np.dot(self.of([w.encode("utf-8") for w in freq]), list(freq.values()))) if freq else 0
         return total
 
 
@@ -157,10 +158,12 @@ def token_counts(column: pa.Array, counts: Counts) -> np.ndarray:
         starts, ends, rows = pretokens(data, offsets)
         if not len(starts):
             continue
-        hashes, first, where = np.unique(tb.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        pieces = counts.of(data, starts[first], ends[first], hashes)
+        _, first, where = np.unique(tb.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        pieces = counts.of([data[a:b].tobytes() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])[where]
+        for i in np.flatnonzero(~tb.same_spans(data, starts, ends, first[where])).tolist():  # equal hashes of unlike bytes
+            pieces[i] = counts.of([data[starts[i] : ends[i]].tobytes()])[0]
         # frequency times pieces, summed by document
-        out[lo:hi] += np.bincount(rows, pieces[where], hi - lo).astype(np.int64)
+        out[lo:hi] += np.bincount(rows, pieces, hi - lo).astype(np.int64)
     return out
 
 
