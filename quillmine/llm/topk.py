@@ -1,134 +1,216 @@
 """Exact top-k by inner product: a dual-tree search over cover trees of points and of queries.
 
-A node of a cover tree has a centre and a covering radius; the children's centres of a level are apart by more than the level's radius, which
-halves from level to level, down to leaves of at most LEAF points. For a query node (centre c, radius r) and a point node
-(centre d, radius s) no inner product exceeds <c, d> + r |d| + s |c| + r s, so a pair is pruned
-when that is below the worst kth score among the node's queries. All scores are exact integers, and a pair whose bound equals the worst
-kth score is searched, so ties are settled by id.
-
-Queries and points are dealt into blocks of bounded size by hashes of their ids, a search runs for each pair of blocks, and the
-blocks' best are merged; each block's tree is built once in a task. Equal vectors spread over the blocks.
+A node of a cover tree has a centre and a covering radius. Its children's centres are further apart than the child level's radius, which is
+half of the node's, and every row lies within that radius of its child's centre: levels follow the data, however many children that takes.
+Children of one row each are kept together as the node's singles. For a query node (centre c, radius r) and a point node
+(centre d, radius s) no inner product exceeds <c, d> + r |d| + s |c| + r s, so a pair is pruned when that is below the worst kth score
+among the node's queries. Bounds of all children are one matrix product. A pair whose bound equals the worst kth score is searched, so
+ties are settled by id. Scores are exact integers: doubles where every product fits them, else longs, else Python's integers.
+
+Points are dealt into blocks of bounded size by a hash of id and vector. A task sorts a block's points before the queries, which come in blocks
+too: it builds the points' tree once, then searches it for one block of queries after another, so it holds one of each. Only
+the queries, a small part of the rows, are copied to every block. The blocks' best are merged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEAF = 48
-#: Children of a node at most; where a level has more centres, rows go to the nearest of so many.
-HEADS = 24
+LEAF = 64
 #: Rows of a block of queries, and of points.
-QUERY_BLOCK, POINT_BLOCK = 1024, 8192
+QUERY_BLOCK, POINT_BLOCK = 1024, 16_384
+#: Rows of which the distances to all others are computed at once.
+_AT_ONCE = 256
+_LOW, _HIGH = -(1 << 63), (1 << 63) - 1
 
 
 class CoverTree:
-    """Nodes of a cover tree over the rows of ``x``: centre row, radius, children, or the rows of a leaf."""
+    """Nodes of a cover tree over the rows of ``x``: centre row, radius, children, singles (rows of a leaf, or children of one row)."""
 
     def __init__(self, x: np.ndarray):
-        self.x = x
+        self.exact = x
+        self.x = x.astype(np.float64)
+        self.norm = np.sqrt((self.x * self.x).sum(1))
+        self.top = max(abs(int(x.min())), abs(int(x.max()))) if x.size else 0
         self.centre: list[int] = []
         self.radius: list[float] = []
-        self.children: list[list[int]] = []
-        self.rows: list[np.ndarray] = []
-        self.norm = np.sqrt((x * x).sum(1))
+        self.children: list[np.ndarray] = []
+        self.singles: list[np.ndarray] = []
         if len(x):
             rows = np.arange(len(x))
-            self._build(0, rows, self._distances(0, rows))
+            self._build(0, rows, self._distances(rows[:1], rows)[0])
+
+    def _distances(self, centres: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        a, b = self.x[centres], self.x[rows]
+        return np.sqrt(np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * (a @ b.T), 0))
+
+    def _error(self, rows: np.ndarray) -> float:
+        """What rounding may take from a distance among ``rows``."""
+        return 1e-6 * float(self.norm[rows].max()) + 1e-9
 
-    def _distances(self, centre: int, rows: np.ndarray) -> np.ndarray:
-        d = self.x[rows] - self.x[centre]
-        return np.sqrt(np.einsum("ij,ij->i", d, d))
+    def _covered(self, centre: int, rows: np.ndarray, level: float) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(centre, its rows, their distances): each row goes to the first centre within ``level``; others become centres in order."""
+        found = []
+        left = np.concatenate([[centre], rows[rows != centre]])
+        while len(left):
+            ahead = left[:_AT_ONCE]
+            far = self._distances(ahead, left)
+            free = np.ones(len(left), bool)
+            for i in range(len(ahead)):
+                if free[i]:
+                    take = free & (far[i] <= level)
+                    take[i] = True
+                    found.append((int(ahead[i]), left[take], far[i][take]))
+                    free &= ~take
+            left = left[free]
+        return found
 
     def _build(self, centre: int, rows: np.ndarray, distance: np.ndarray) -> int:
-        node = len(self.centre)
-        radius = float(distance.max())
+        node, radius = len(self.centre), float(distance.max())
         self.centre.append(centre)
-        self.radius.append(radius * (1 + 1e-12) + 1e-9)
-        self.children.append([])
-        self.rows.append(rows)
-        if len(rows) <= LEAF or radius == 0:
+        self.radius.append(radius + self._error(rows))
+        self.children.append(rows[:0])
+        self.singles.append(rows)
+        if len(rows) <= LEAF or radius <= self._error(rows):
             return node
-        level = radius / 2
-        left, near = np.ones(len(rows), bool), distance
-        heads: list[tuple[int, np.ndarray, np.ndarray]] = []
-        head = centre
-        while True:
-            take = left & (near <= level)
-            heads.append((head, rows[take], near[take]))
-            left &= ~take
-            if not left.any():
-                break
-            if len(heads) == HEADS:
-                heads = self._nearest([h for h, _, _ in heads], rows)
-                break
-            head = int(rows[np.argmax(left)])
-            near = self._distances(head, rows)
-        if len(heads) == 1 or max(len(r) for _, r, _ in heads) == len(rows):
-            return node
-        self.rows[node] = rows[:0]
-        self.children[node] = [self._build(h, r, d) for h, r, d in heads]
+        parts = self._covered(centre, rows, radius / 2)
+        self.singles[node] = np.array([h for h, r, _ in parts if len(r) == 1], np.int64)
+        self.children[node] = np.array([self._build(h, r, d) for h, r, d in parts if len(r) > 1], np.int64)
         return node
 
-    def _nearest(self, heads: list[int], rows: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """Every row with the nearest of some centres."""
-        far = np.stack([self._distances(h, rows) for h in heads])
-        near = far.argmin(0)
-        return [(h, rows[near == i], far[i][near == i]) for i, h in enumerate(heads) if (near == i).any()]
-
-    def leaf(self, node: int) -> bool:
-        return not self.children[node]
+    def products(self, rows: np.ndarray, other: CoverTree, cols: np.ndarray) -> np.ndarray:
+        """Exact inner products of some rows with some of another tree's, as int64; what a long can't hold becomes its nearest."""
+        dim = self.x.shape[1]
+        if self.top * other.top * dim < 1 << 53:
+            return (self.x[rows] @ other.x[cols].T).astype(np.int64)
+        a, b = self.exact[rows], other.exact[cols]
+        if self.top * other.top * dim <= _HIGH:
+            return a @ b.T
+        return np.clip(a.astype(object) @ b.astype(object).T, _LOW, _HIGH).astype(np.int64)
 
 
 class Search:
-    """The best ``k`` of ``points`` for each of ``queries``; a query's own id is left out."""
+    """The best ``k`` of ``points`` for each of ``queries``; points with the query's own id are left out. Both are sorted by id."""
 
     def __init__(self, queries: CoverTree, q_ids: np.ndarray, points: CoverTree, p_ids: np.ndarray, k: int):
         self.q, self.p, self.q_ids, self.p_ids, self.k = queries, points, q_ids, p_ids, k
-        self.score = np.full((len(q_ids), k), -np.inf)
-        self.ids = np.full((len(q_ids), k), np.iinfo(np.int64).max)
-        self.worst = np.full(len(queries.centre), -np.inf)
+        self.score = np.full((len(q_ids), k), _LOW, np.int64)
+        self.ids = np.full((len(q_ids), k), _HIGH, np.int64)
+        self.found = np.zeros((len(q_ids), k), bool)
+        #: No score below this is among a query's best; the same as a double no larger.
+        self.least, self.worst = np.full(len(q_ids), _LOW, np.int64), np.full(len(q_ids), -np.inf)
         self.pairs = 0
         if len(q_ids) and len(p_ids):
-            self._visit(0, 0)
+            self._begin()
+            self._visit(0, np.zeros(1, np.int64))
+
+    def _raise(self, rows: np.ndarray, least: np.ndarray) -> None:
+        self.least[rows] = np.maximum(self.least[rows], least)
+        self.worst[rows] = np.nextafter(self.least[rows].astype(np.float64), -np.inf)
 
-    def _bounds(self, pairs: list[tuple[int, int]]) -> np.ndarray:
-        a, b = (np.array(x) for x in zip(*pairs, strict=True))
+    def _begin(self) -> None:
+        """The kth score among the centres of the points' tree bounds a query's kth score from below."""
+        centres = np.unique(self.p.centre)
+        for lo in range(0, len(self.q_ids), _AT_ONCE):
+            rows = np.arange(lo, min(lo + _AT_ONCE, len(self.q_ids)))
+            found = self.q.products(rows, self.p, centres)
+            found[self.p_ids[centres] == self.q_ids[rows][:, None]] = _LOW
+            if len(centres) >= self.k:
+                self._raise(rows, np.partition(found, -self.k, axis=1)[:, -self.k])
+
+    def _bounds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """No inner product of the queries below node a[i] with points below node b[j] exceeds [i, j]."""
         c, d = np.array(self.q.centre)[a], np.array(self.p.centre)[b]
-        r, s = np.array(self.q.radius)[a], np.array(self.p.radius)[b]
-        return np.einsum("ij,ij->i", self.q.x[c], self.p.x[d]) + r * self.p.norm[d] + s * self.q.norm[c] + r * s + 1e-6
+        r, s = np.array(self.q.radius)[a][:, None], np.array(self.p.radius)[b][None, :]
+        rest = r * self.p.norm[d] + s * self.q.norm[c][:, None] + r * s
+        size = self.q.norm[c][:, None] * self.p.norm[d]
+        return self.q.x[c] @ self.p.x[d].T + rest + 1e-9 * (size + rest) + 1e-6
+
+    def _rows(self, a: int) -> np.ndarray:
+        """All queries below a node."""
+        out, todo = [], [a]
+        while todo:
+            n = todo.pop()
+            out.append(self.q.singles[n])
+            todo += self.q.children[n].tolist()
+        return np.concatenate(out)
 
-    def _visit(self, a: int, b: int) -> None:
-        if self.q.leaf(a) and self.p.leaf(b):
-            self._leaves(a, b)
+    def _visit(self, a: int, b: np.ndarray) -> None:
+        """Search the point nodes ``b`` for the queries below node ``a``: wider point nodes are opened first, then ``a`` is."""
+        rows, leaf = self._rows(a), not len(self.q.children[a])
+        radius, kept = np.array(self.p.radius), []
+        while len(b):
+            wide = radius[b] > self.q.radius[a] if not leaf else np.ones(len(b), bool)
+            kept.append(b[~wide])
+            self._singles(rows, b[wide])
+            b = self._opened(b[wide])
+            if len(b):
+                b = b[self._bounds(np.array([a]), b)[0] >= self.worst[rows].min()]
+        kept = np.concatenate(kept) if kept else b
+        if not len(kept) or leaf:
             return
-        split_query = not self.q.leaf(a) and (self.p.leaf(b) or self.q.radius[a] >= self.p.radius[b])
-        pairs = [(x, b) for x in self.q.children[a]] if split_query else [(a, y) for y in self.p.children[b]]
-        bounds = self._bounds(pairs)
-        for i in np.argsort(-bounds, kind="stable"):
-            if bounds[i] >= self.worst[pairs[i][0]]:
-                self._visit(*pairs[i])
-        if split_query:
-            self.worst[a] = min(self.worst[x] for x in self.q.children[a])
-
-    def _leaves(self, a: int, b: int) -> None:
-        rows, cols = self.q.rows[a], self.p.rows[b]
-        self.pairs += len(rows) * len(cols)
-        found = self.q.x[rows] @ self.p.x[cols].T
-        # only queries that some point reaches, and of the points only those that reach some query
-        reached = found >= self.score[rows, -1][:, None]
-        some, which = reached.any(1), reached.any(0)
-        if not some.any():
+        own = self.q.singles[a]
+        near = kept
+        while len(own) and len(near):
+            self._singles(own, near)
+            near = self._opened(near)
+            if len(near):
+                near = near[(self._single_bounds(own, near) >= self.worst[own][:, None]).any(0)]
+        for child in self.q.children[a].tolist():
+            near = kept[self._bounds(np.array([child]), kept)[0] >= self.worst[self._rows(child)].min()]
+            if len(near):
+                self._visit(child, near)
+
+    def _opened(self, b: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.p.children[n] for n in b]).astype(np.int64) if len(b) else b
+
+    def _single_bounds(self, rows: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """No inner product of query rows[i] with points below node b[j] exceeds [i, j]."""
+        d, s = np.array(self.p.centre)[b], np.array(self.p.radius)[b]
+        norm = self.q.norm[rows][:, None]
+        return self.q.x[rows] @ self.p.x[d].T + norm * s + 1e-9 * norm * (self.p.norm[d] + s) + 1e-6
+
+    def _singles(self, rows: np.ndarray, b: np.ndarray) -> None:
+        """Compare the singles of the point nodes ``b`` with those of the queries that they may serve, best bounds first."""
+        b = b[[len(self.p.singles[n]) > 0 for n in b]] if len(b) else b
+        if not len(b):
             return
-        rows, cols, found = rows[some], cols[which], found[some][:, which]
-        ids = np.broadcast_to(self.p_ids[cols], found.shape)
-        found = np.where(ids == self.q_ids[rows][:, None], -np.inf, found)
-        score, every = np.concatenate([self.score[rows], found], axis=1), np.concatenate([self.ids[rows], ids], axis=1)
-        order = np.lexsort((every, -score), axis=1)[:, : self.k]
-        self.score[rows], self.ids[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(every, order, 1)
-        self.worst[a] = self.score[self.q.rows[a], -1].min()
+        bound = self._single_bounds(rows, b)
+        for j in np.argsort(-bound.max(0), kind="stable").tolist():
+            able = rows[bound[:, j] >= self.worst[rows]]
+            if len(able):
+                self._compare(able, self.p.singles[b[j]])
+
+    def _compare(self, rows: np.ndarray, cols: np.ndarray) -> None:
+        """Exact scores of some queries with some points."""
+        for lo in range(0, len(cols), 4096):
+            self._best(rows, cols[lo : lo + 4096])
+
+    def _best(self, rows: np.ndarray, cols: np.ndarray) -> None:
+        self.pairs += len(rows) * len(cols)
+        found = self.q.products(rows, self.p, cols)
+        reached = found >= self.least[rows][:, None]
+        some = reached.any(1)
+        rows, found, reached = rows[some], found[some], reached[some]
+        for r, row, ok in zip(rows.tolist(), found, reached, strict=True):
+            at = np.flatnonzero(ok)
+            if len(at) > 4 * self.k:  # by score alone first, with all ties of the kth
+                least = np.partition(row[at], len(at) - self.k - 1)[len(at) - self.k - 1 :].min()
+                at = at[row[at] >= least]
+            ids = self.p_ids[cols[at]]
+            at, ids = at[ids != self.q_ids[r]], ids[ids != self.q_ids[r]]
+            have = self.found[r]
+            score, every = np.r_[self.score[r][have], row[at]], np.r_[self.ids[r][have], ids]
+            order = np.lexsort((every, ~score))[: self.k]
+            n = len(order)
+            self.score[r, :n], self.ids[r, :n], self.found[r, :n] = score[order], every[order], True
+            if n == self.k:
+                self._raise(np.array([r]), self.score[r, -1:])
 
 
 def quantised(embedding: Column) -> Column:
@@ -138,38 +220,68 @@ def quantised(embedding: Column) -> Column:
     return F.when(embedding.isNotNull() & ~bad, whole)
 
 
-def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "v") -> DataFrame:
+_COLUMNS = "pb int, dim int, kind int, qb int, id long, v array<long>"
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, ...], np.ndarray, np.ndarray]]:
+    """(pb, dim, kind, qb), ids and vectors of each run of rows of _COLUMNS that agree in the first four."""
+    key, ids, vectors = None, [], []
+    for batch in batches:
+        keys = np.stack([batch.column(i).to_numpy() for i in range(4)], axis=1)
+        flat = batch.column(5).flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(keys[:, 1])
+        edges = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys)]
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if hi == lo:
+                continue
+            now = tuple(keys[lo].tolist())
+            if key is not None and now != key:
+                yield key, np.concatenate(ids), np.concatenate(vectors)
+                ids, vectors = [], []
+            key = now
+            ids.append(batch.column(4).slice(lo, hi - lo).to_numpy())
+            vectors.append(flat[ends[lo] - now[1] : ends[hi - 1]].reshape(hi - lo, now[1]).astype(np.int64))
+    if key is not None:
+        yield key, np.concatenate(ids), np.concatenate(vectors)
+
+
+def _search(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = p_ids = at = None
+        for (pb, dim, kind, _), ids, vectors in _runs(batches):
+            if not kind:
+                tree, p_ids, at = CoverTree(vectors), ids, (pb, dim)
+            elif at == (pb, dim):
+                found = Search(CoverTree(vectors), ids, tree, p_ids, k)
+                on = found.found
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, on.sum(1))), pa.array(found.ids[on]), pa.array(found.score[on])], ["query_id", "vec_id", "score"])
+
+    return run
+
+
+def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "v", repeats: bool = False) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` points with the highest inner products for each query, ties to the smaller id.
 
     Both tables hold an id and a vector (array of long; null vectors take no part, nor do null ids). Only vectors of the query's length are
-    compared; a point with the query's id is never its answer. Fewer than k candidates are all returned. Rows equal in
-    id and vector count once. Empty tables give no rows; other columns aren't read.
+    compared; a point with the query's id is never its answer. Fewer than k candidates are all returned. Rows equal in id and
+    vector count once, with ``repeats`` each by itself (on both sides); rows of ``queries`` with one id share its k ranks. A score that a
+    long cannot hold is the nearest long. Empty tables give no rows; other columns aren't read.
     """
 
     def side(df: DataFrame) -> DataFrame:
-        return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull()).withColumn("dim", F.size("v"))
-
-    p, q = side(points).distinct(), side(queries).distinct()
-    n_p, n_q = -(-max(1, p.count()) // POINT_BLOCK), -(-max(1, q.count()) // QUERY_BLOCK)
-    p = p.withColumn("pb", F.pmod(F.xxhash64("id"), F.lit(n_p))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
-    q = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_q)).cast("int")).withColumn("pb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_p - 1).cast("long"))))
-
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-            ids = t["id"].to_numpy()
-            flat = t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            x, order = flat.reshape(len(ids), -1), np.argsort(ids, kind="stable")
-            return ids[order], x[order]
-
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
-        (q_ids, qx), (p_ids, px) = matrix(left), matrix(right)
-        if px.shape[1] and np.abs(px).max() * np.abs(qx).max() * px.shape[1] >= 2**53:
-            raise ValueError("the inner products do not fit an exact double")
-        found = Search(CoverTree(qx), q_ids, CoverTree(px), p_ids, k)
-        on = np.isfinite(found.score)
-        return pa.table({"query_id": np.repeat(q_ids, on.sum(1)), "vec_id": found.ids[on], "score": found.score[on].astype(np.int64)})
-
-    cells = q.groupBy("dim", "pb", "qb").cogroup(p.groupBy("dim", "pb", "qb")).applyInArrow(cell, "query_id long, vec_id long, score long")
+        rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<long>").alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
+        # of equal rows no more than k can be among the best k, so a copied row is no hot block
+        return rows.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k if repeats else 1)).alias("n")).withColumn("dim", F.size("v"))
+
+    def copied(df: DataFrame) -> DataFrame:
+        return df.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select("pb", "dim", "kind", "qb", "id", "v")
+
+    p, q = side(points), side(queries)
+    n_p, n_q = (-(-max(1, df.agg(F.sum("n")).first()[0] or 0) // size) for df, size in ((p, POINT_BLOCK), (q, QUERY_BLOCK)))
+    place = F.xxhash64("id", "v")
+    p = p.withColumns({"pb": F.pmod(place, F.lit(n_p)).cast("int"), "kind": F.lit(0), "qb": F.lit(0)})
+    q = q.withColumns({"pb": F.explode(F.sequence(F.lit(0), F.lit(n_p - 1))), "kind": F.lit(1), "qb": F.pmod(place, F.lit(n_q)).cast("int")})
+    cells = copied(p).unionByName(copied(q)).repartition("pb", "dim").sortWithinPartitions("pb", "dim", "kind", "qb", "id")
+    best = cells.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return cells.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
