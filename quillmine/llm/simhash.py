@@ -5,14 +5,16 @@ three of five pieces, so each distinct fingerprint is dealt to ten buckets, one
 equal bits). A bucket with more than BUCKET fingerprints is dealt again in the same way by five pieces of the bits that
 are left, which leaves at most 2**11 different fingerprints in a bucket whatever the data; rows grow by a constant factor,
 no pair of a bucket is written down, and none is dropped. In a bucket the bits are stored as planes
-(word j of plane b holds bit b of 64 fingerprints); distances of all to all are counted by carry-save bitwise counters,
-and a block of queries is given up as soon as all its counters exceed the radius. A bucket returns one edge for each linked
+(word j of plane b holds bit b of 64 fingerprints); distances of all to all are counted by carry-save bitwise counters.
+After every _CHECK planes the queries whose counters all exceed the radius are given up, and a block without others is done. A bucket returns one edge for each linked
 member, to the smallest one that it reaches there. Components are found by alternating large-star and small-star rounds.
+
+``nearcopies`` links texts by similarity instead, with the same bit-sliced comparison at a wider radius.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -28,6 +30,8 @@ BITS, RADIUS = 64, 2
 BUCKET = 1024
 #: Members compared at once; smaller buckets are put together up to this number.
 SLAB = 512
+#: Planes between two looks at which queries are done.
+_CHECK = 8
 _STEP = 1 << 16
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -39,14 +43,15 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
         return 0
     if len(words) < width:
         return xxhash.xxh64_intdigest(b" ".join(words), seed)
-    n, total = len(words) - width + 1, np.zeros(BITS, np.int64)
-    for lo in range(0, n, _STEP):
-        part = words[lo : min(n, lo + _STEP) + width - 1]
-        shingles = map(b" ".join, zip(*(part[i:] for i in range(width)), strict=False))
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.uint64)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        total += bits.sum(0, dtype=np.uint32)
-    return int(np.packbits(2 * total > n, bitorder="little").view(np.uint64)[0])
+    n = len(words) - width + 1
+
+    def parts() -> Iterator[np.ndarray]:
+        for lo in range(0, n, _STEP):
+            part = words[lo : min(n, lo + _STEP) + width - 1]
+            shingles = map(b" ".join, zip(*(part[i:] for i in range(width)), strict=False))
+            yield np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.uint64)
+
+    return majority(parts(), n)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
@@ -86,10 +91,31 @@ def _dealt(masks: list[int], number: Column) -> Column:
     return F.array(*(F.struct((number + i).cast("int").alias("deal"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)))
 
 
-def near_groups(words: np.ndarray) -> np.ndarray:
-    """For each of some distinct fingerprints, the position of the first one that it reaches in links of RADIUS bits.
+def majority(hashes: Iterable[np.ndarray], n: int) -> int:
+    """The number whose bit b is set if bit b is set in over half of the ``n`` 64-bit hashes, given in parts."""
+    total = np.zeros(BITS, np.int64)
+    for part in hashes:
+        total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint32)
+    return int(np.packbits(2 * total > n, bitorder="little").view(np.uint64)[0])
+
 
-    ``words``: uint64. Compared bit-sliced, SLAB queries at a time against all.
+def _exceeded(counts: list[np.ndarray], over: np.ndarray, radius: int) -> np.ndarray:
+    """Where the counters, whose bit planes are ``counts``, are above ``radius`` or have run over."""
+    above, equal = over.copy(), ~np.zeros_like(over)
+    for b in range(len(counts) - 1, -1, -1):
+        if not radius >> b & 1:
+            above |= equal & counts[b]
+            equal &= ~counts[b]
+        else:
+            equal &= counts[b]
+    return above
+
+
+def near_groups(words: np.ndarray, radius: int = RADIUS, of: np.ndarray | None = None) -> np.ndarray:
+    """For each of some fingerprints, the position of the first one that it reaches in links of ``radius`` bits.
+
+    ``words``: uint64; ``of``: each one's bucket, if only those of one bucket are to be linked. Compared bit-sliced, SLAB
+    queries at a time against all after them.
     """
     n = len(words)
     lanes = -(-n // 64)
@@ -97,33 +123,43 @@ def near_groups(words: np.ndarray) -> np.ndarray:
     planes = np.zeros((BITS, lanes * 64), np.uint8)
     planes[:, :n] = bits.T
     planes = np.packbits(planes, axis=1, bitorder="little").view(np.uint64)
-    there = np.packbits(np.arange(lanes * 64) < n, bitorder="little").view(np.uint64)
     full = np.uint64(0xFFFFFFFFFFFFFFFF)
     left, right = [], []
+    place = np.arange(lanes * 64)
     for lo in range(0, n, SLAB):
-        queries = bits[lo : lo + SLAB].astype(np.uint64) * full
-        ones = np.zeros((len(queries), lanes), np.uint64)
-        twos, over = np.zeros_like(ones), np.broadcast_to(~there, ones.shape).copy()
+        rows = np.arange(lo, min(lo + SLAB, n))
+        # a query is compared with those after it (of its bucket); all others count as exceeded
+        asked = place > rows[:, None]
+        asked[:, n:] = False
+        if of is not None:
+            asked[:, :n] &= of[rows][:, None] == of
+        over = np.packbits(~asked, axis=1, bitorder="little").view(np.uint64)
+        alive = (over != full).any(1)
+        rows, over = rows[alive], over[alive]
+        counts = [np.zeros_like(over) for _ in range(radius.bit_length())]
         for b in range(BITS):
-            x = planes[b][None, :] ^ queries[:, b][:, None]
-            carry = ones & x
-            ones ^= x
-            over |= twos & carry
-            twos ^= carry
-            if b % 16 == 15 and b < BITS - 1:
-                if ((over | (ones & twos)) == full).all():
-                    break
-        else:
-            near = ~(over | (ones & twos))
+            if not len(rows):
+                break
+            carry = planes[b] ^ (bits[rows, b].astype(np.uint64) * full)[:, None]
+            for plane in counts:
+                np.bitwise_xor(plane, carry, out=plane)
+                carry &= ~plane
+            over |= carry
+            if b % _CHECK == _CHECK - 1:
+                exceeded = _exceeded(counts, over, radius)
+                alive = (exceeded != full).any(1)
+                if 4 * alive.sum() < 3 * len(rows):
+                    rows, over, counts, exceeded = rows[alive], over[alive], [c[alive] for c in counts], exceeded[alive]
+        if len(rows):
+            near = ~exceeded
             row, lane = np.nonzero(near)
             on, bit = np.nonzero(np.unpackbits(near[row, lane].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
-            left.append(lo + row[on])
+            left.append(rows[row[on]])
             right.append(lane[on] * 64 + bit)
     group = np.arange(n)
     if not left:
         return group
     a, b = np.concatenate(left), np.concatenate(right)
-    a, b = a[a < b], b[a < b]
     while len(a):
         low = np.minimum(group[a], group[b])
         before = group.copy()
