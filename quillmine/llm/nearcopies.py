@@ -1,30 +1,38 @@
-"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
-
-Texts with equal sets are one class and are never compared. BANDS * ROWS MinHash values of each class are taken in bands of
-ROWS; classes with an equal band meet in a bucket (two classes of similarity s meet with probability 1 - (1 - s**4)**20: 0.99997
-at 0.8). Buckets with the same members are compared once. In a bucket the similarities are exact, from the whole sets: a search
-from each class compares it with all classes that no search has reached, so a group of copies costs about one comparison a
-member. A bucket returns one edge for each class reached. Components are found as for fingerprints.
+"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, by SimHash and an exact check.
+
+1. Texts with equal sets are one class and are never compared; a class has the SimHash of its set.
+2. Candidates: two sets of similarity 0.8 differ in 9.7 of 64 bits on average, and in more than RADIUS = 22 once in 40,000 times. No choice of
+   pieces of 64 bits covers such a radius, so classes meet by MinHash: BANDS bands of ROWS values, of which similar classes share one with
+   probability 0.99995. The members of a bucket are compared bit-sliced at RADIUS as in ``simhash``; a bucket of more than BUCKET members is
+   passed whole, as a star. Components of these links are the candidate groups: they only ever hold too much.
+3. Check: the similarities in a group are exact, from the whole sets, which are shuffled once. A search from each class compares it with all
+   classes that no search has reached, so a group of copies costs about one comparison a member. A large group is cut into
+   chunks of bounded size with some of its members (LEADERS) in each; the components that this gives hold most of it. Those outside the largest are
+   then compared with all others, chunk by chunk, so no link is lost and no task holds a whole large group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from ..operators.lineage import cut
-from .simhash import FOLD
+from .simhash import FOLD, SLAB, majority, near_groups
 
 WIDTH = 5
 #: The least similarity, as a fraction.
 LEAST = (4, 5)
-BANDS, ROWS = 20, 4
+BANDS, ROWS, RADIUS = 25, 5, 22
+#: Members of a bucket that are compared; members, shingles of a chunk; members that stand in every chunk of a large group.
+BUCKET, CHUNK, CHUNK_SHINGLES, LEADERS = 2048, 1024, 1 << 20, 8
+#: Classes whose texts are asked for by a broadcast; 16 bytes each. More are joined by a shuffle.
+BROADCAST_ROWS = 1 << 19
 _FACTORS = np.random.default_rng(5).integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
 _STEP = 1 << 12
 
@@ -77,9 +85,11 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingles(t.as_py()) for t in batch.column(2)]
-        same = np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), np.uint64, len(sets)).view(np.int64)
-        cols = [batch.column(0), batch.column(1), pa.array(same), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_hash", "same", "bands"])
+        n = len(sets)
+        same = np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), np.uint64, n).view(np.int64)
+        fp = np.fromiter((majority((s[lo : lo + _STEP] for lo in range(0, len(s), _STEP)), len(s)) for s in sets), np.uint64, n).view(np.int64)
+        cols = [batch.column(0), batch.column(1), pa.array(same), pa.array([len(s) for s in sets], pa.int64()), pa.array(fp), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_hash", "same", "size", "fp", "bands"])
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,43 +98,130 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), found], ["same", "found"])
 
 
-def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (u, v) of rows (bucket, same, found) sorted by bucket; buckets are whole in a partition."""
+def _edges(names: np.ndarray, group: np.ndarray) -> pa.RecordBatch:
+    on = np.flatnonzero(group != np.arange(len(group)))
+    return pa.RecordBatch.from_arrays([pa.array(names[on]), pa.array(names[group[on]])], ["u", "v"])
+
+
+def _bit_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of rows (band, same, fp) sorted by band; buckets are whole in a partition, and are compared many at a time."""
+
+    def edges(band: np.ndarray, same: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first = np.r_[True, band[1:] != band[:-1]]
+        of = np.cumsum(first) - 1
+        shared = np.bincount(of)[of] > 1
+        band, same, fp, of = band[shared], same[shared], fp[shared], of[shared]
+        starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else of
+        lo = 0
+        while lo < len(of):  # whole buckets, SLAB rows or more
+            after = starts[np.searchsorted(starts, lo + SLAB) :]
+            hi = int(after[0]) if len(after) else len(of)
+            yield _edges(same[lo:hi], near_groups(fp[lo:hi].view(np.uint64), RADIUS, of[lo:hi]))
+            lo = hi
+
+    held = [np.zeros(0, np.int64)] * 3
+    for batch in batches:
+        held = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
+        tail = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last bucket may go on
+        yield from edges(*(h[:tail] for h in held))
+        held = [h[tail:] for h in held]
+    yield from edges(*held)
+
+
+def _set_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of rows (root, i, j, same, found) sorted by the first three; such a cell is whole in a partition, and may name a class twice."""
 
     def edges() -> pa.RecordBatch:
-        group = linked(sets)
-        on = np.flatnonzero(group != np.arange(len(sets)))
-        names = np.array(same, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(names[on]), pa.array(names[group[on]])], ["u", "v"])
+        names = list(cell)
+        return _edges(np.array(names, np.int64), linked([cell[x] for x in names]))
 
-    now, same, sets = None, [], []
+    now, cell = None, {}
     for batch in batches:
-        for bucket, name, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if bucket != now and sets:
-                yield edges()
-                same, sets = [], []
-            now = bucket
-            same.append(name)
-            sets.append(np.frombuffer(found, np.uint64))
-    if sets:
+        for *key, name, found in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            if key != now:
+                if len(cell) > 1:
+                    yield edges()
+                now, cell = key, {}
+            cell[name] = np.frombuffer(found, np.uint64)
+    if len(cell) > 1:
         yield edges()
 
 
+def _celled(rows: DataFrame, run: Callable) -> DataFrame:
+    cells = rows.select("root", "i", "j", "same", "found").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    return cells.mapInArrow(run, "u long, v long")
+
+
+def candidates(classes: DataFrame) -> DataFrame:
+    """``node, root``: the candidate groups of more than one of ``classes`` (same, fp, bands)."""
+    dealt = classes.select("same", "fp", F.explode("bands").alias("band"))
+    large = dealt.groupBy("band").agg(F.count("*").alias("n"), F.min("same").alias("first")).where(F.col("n") > BUCKET).select("band", "first")
+    marked = dealt.join(large, "band", "left")
+    stars = marked.where(F.col("first").isNotNull()).select(F.col("same").alias("u"), F.col("first").alias("v"))
+    small = marked.where(F.col("first").isNull()).select("band", "same", "fp").repartition("band").sortWithinPartitions("band")
+    return components(small.mapInArrow(_bit_links, "u long, v long").union(stars))
+
+
+def _number(same: Column, n: Column | int, seed: int) -> Column:
+    return F.pmod(F.xxhash64(same, F.lit(seed)), n if isinstance(n, Column) else F.lit(n)).cast("int")
+
+
+def _chunks(rows: Column, shingles_: Column) -> Column:
+    return F.greatest(F.ceil(rows / CHUNK), F.ceil(shingles_ / CHUNK_SHINGLES), F.lit(1)).cast("int")
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text_hash, component`` of every row; component is alike for all that links of similarity LEAST join.
 
-    Nulls and empty texts are one component. Repeated rows stay. Other columns of ``docs`` are not read.
+    Nulls and empty texts are one component. Repeated rows stay. Null ids are kept. An empty table gives no rows. Other columns of ``docs`` are
+    not read.
     """
     text = F.col(text_col)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    base = cut(read.mapInArrow(_sketched, "doc_id long, text_hash long, same long, bands array<long>"))
-    met = base.select("same", F.explode("bands").alias("band")).groupBy("band").agg(F.array_sort(F.collect_set("same")).alias("all"))
-    met = met.where(F.size("all") > 1).select("all").distinct()
-    members = cut(met.select(F.xxhash64("all").alias("bucket"), F.explode("all").alias("same")))
-    one = base.groupBy("same").agg(F.min("text_hash").alias("text_hash")).join(members.select("same").distinct(), "same", "left_semi")
-    texts = read.select("text_hash", "text").join(one, "text_hash").select("same", "text")
-    sets = texts.dropDuplicates(["same"]).mapInArrow(_whole_sets, "same long, found binary")
-    buckets = members.join(sets, "same").select("bucket", "same", "found").repartition("bucket").sortWithinPartitions("bucket")
-    roots = components(buckets.mapInArrow(_bucket_edges, "u long, v long"))
+    base = cut(read.mapInArrow(_sketched, "doc_id long, text_hash long, same long, size long, fp long, bands array<long>"))
+    classes = base.groupBy("same").agg(F.min("fp").alias("fp"), F.first("bands").alias("bands"))
+    groups = candidates(classes)
+    of = base.groupBy("same").agg(F.min("text_hash").alias("text_hash"), F.min("size").alias("size"))
+    found = groups.select(F.col("node").alias("same"), "root")
+    members = cut(found.union(groups.select("root", "root").distinct()).join(of, "same").distinct())
+
+    asked = members.select("text_hash", "same")
+    asked = F.broadcast(asked) if members.count() <= BROADCAST_ROWS else asked
+    texts = read.select("text_hash", "text").join(asked, "text_hash").select("same", "text")
+    sets = texts.groupBy("same").agg(F.first("text").alias("text")).mapInArrow(_whole_sets, "same long, found binary")
+    sizes = members.groupBy("root").agg(_chunks(F.count("*"), F.sum("size")).alias("chunks"))
+    rows = cut(members.select("root", "same").join(sizes, "root").join(sets, "same"))
+
+    own = rows.select("root", F.lit(0).alias("i"), _number(F.col("same"), F.col("chunks"), 1).alias("j"), "same", "found")
+    links = _celled(own.union(_led(rows)), _set_links)
+    big = rows.where("chunks > 1")
+    if big.isEmpty():
+        return _named(base, components(links))
+    links = cut(links)
+    return _named(base, components(links.union(_rest(big, components(links)))))
+
+
+def _led(rows: DataFrame) -> DataFrame:
+    """The leaders of each group in chunks, for every chunk."""
+    lead = F.struct(F.xxhash64("same", F.lit(2)).alias("h"), F.col("same").alias("leader"))
+    leaders = rows.where("chunks > 1").groupBy(F.col("root"), _number(F.col("same"), LEADERS, 3).alias("turn")).agg(F.min(lead).alias("l")).select("l.leader")
+    return rows.where("chunks > 1").join(leaders, rows["same"] == leaders["leader"], "left_semi").select(
+        "root", F.lit(0).alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), "same", "found"
+    )
+
+
+def _rest(big: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links that the chunks of large groups lack: those of the members outside a group's largest component, to all members."""
+    named = cut(big.join(roots, big["same"] == roots["node"], "left").select(big["root"], "same", "chunks", "found", F.coalesce(roots["root"], "same").alias("part")))
+    parts = named.groupBy("root", "part").agg(F.count("*").alias("n"))
+    main = parts.groupBy("root").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
+    outside = named.join(main, "root").where("part <> main")
+    counts = outside.groupBy("root").agg(_chunks(F.count("*"), F.sum(F.octet_length("found") / 8)).alias("rests"))
+    a = outside.join(counts, "root").select("root", _number(F.col("same"), F.col("rests"), 4).alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), "same", "found")
+    b = named.join(counts, "root").select("root", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("i"), _number(F.col("same"), F.col("chunks"), 1).alias("j"), "same", "found")
+    return _celled(a.union(b), _set_links)
+
+
+def _named(base: DataFrame, roots: DataFrame) -> DataFrame:
     found = base.join(roots, base["same"] == roots["node"], "left")
     return found.select("doc_id", "text_hash", F.coalesce("root", "same").alias("component"))

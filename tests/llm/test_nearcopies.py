@@ -69,3 +69,25 @@ def test_odd_rows(spark):
     full = df.select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "long"))))
     assert cp.drop_near_duplicates(spark, full, "").count() == 6  # texts without an id stay apart
     assert nearcopies.near_copies(df.limit(0)).count() == 0
+
+
+def test_large_groups_in_chunks(spark, monkeypatch):
+    """Groups cut into many chunks, their buckets passed whole: the links are those of brute force all the same."""
+    rng = np.random.default_rng(9)
+    texts, chain = [], [f"w{i}" for i in range(60)]
+    for i in range(120):  # a family around one text, and a chain whose ends are unlike
+        words = [f"t{j}" for j in range(120)]
+        words[int(rng.integers(120))] = f"x{i}"
+        texts.append(" ".join(words))
+        if i % 2:
+            chain = [*chain[1:], f"c{i}"]
+            texts.append(" ".join(chain))
+    texts += [f"other {i} text of a few words" for i in range(20)] + texts[:30]
+    sets = {i: brute_shingles(t) for i, t in enumerate(texts)}
+    root = brute_roots(sets, brute_pairs(sets))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    for chunk, bucket, leaders in ((1024, 2048, 8), (16, 8, 2), (16, 2048, 1)):
+        for name, value in (("CHUNK", chunk), ("BUCKET", bucket), ("LEADERS", leaders), ("BROADCAST_ROWS", chunk)):
+            monkeypatch.setattr(nearcopies, name, value)
+        got = {r.doc_id: r.component for r in nearcopies.near_copies(df).collect()}
+        assert len(set(zip(got.values(), (root[i] for i in got)))) == len(set(root.values())) == len(set(got.values()))
