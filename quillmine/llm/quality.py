@@ -111,7 +111,7 @@ def fit(y: np.ndarray, stats: np.ndarray, words: list[np.ndarray], epochs: int =
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", per_class: int = SAMPLE_PER_CLASS) -> dict[str, np.ndarray]:
-    """Fit on about ``per_class`` documents of each class at most, none of them held out."""
+    """Fit on ``per_class`` documents of each class at most, none of them held out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stats, pa.list_(pa.float64())), pa.array(words, pa.list_(pa.int32()))], ["y", "stats", "words"])
 
     base = docs.select(F.col(id_col), F.col(text_col), _chars(docs, chars_col))
-    rows = labelled(base, labels.withColumnRenamed("doc_id", id_col), "quality", per_class, id_col)
+    rows = labelled(base, labels.withColumnRenamed("doc_id", id_col), "quality", per_class, id_col, text_col)
     got = rows.select(F.col("_y").alias("y"), F.col(text_col), "_chars").mapInArrow(run, "y int, stats array<double>, words array<int>").toArrow()
     y = np.array(got["y"].to_pylist(), np.float64)
     stats = np.array(got["stats"].to_pylist(), np.float64).reshape(-1, len(STATS))

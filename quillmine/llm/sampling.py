@@ -1,11 +1,12 @@
-"""Bounded samples of labelled rows to fit classifiers on."""
+"""Bounded samples of rows to fit classifiers on: so many rows exactly, of bounded texts, alike in any partitioning."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_FINE = 1 << 30
+#: Longer texts (in bytes) are not learned from; with the bounds on rows this bounds what a sample weighs.
+TEXT_BYTES = 1 << 15
 
 
 def held_out(doc_id: Column) -> Column:
@@ -13,23 +14,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def by_class(rows: DataFrame, label: str, key: str, per_class: int, total: int, classes: int = 400) -> DataFrame:
-    """About ``per_class`` rows of each value of ``label`` at most, and ``total`` in all, picked by a hash of ``key``.
+def short(text: Column) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)) <= TEXT_BYTES
 
-    The pick is alike in any partitioning. Of more than ``classes`` labels, the most frequent count.
+
+def by_class(rows: DataFrame, label: str, key: list[str], per_class: int, total: int) -> DataFrame:
+    """``rows``' ``label`` and ``key`` of ``per_class`` rows of each label at most, and of ``total`` in all, picked by a hash of the key.
+
+    Rows equal in label and key count as one. Every label gets its first row before any gets its second, so as long as there are no
+    more than ``total`` labels, none is left out.
+    """
+    distinct = rows.groupBy(label, *key).agg(F.lit(1).alias("_one")).drop("_one").withColumn("_h", F.xxhash64(*key, F.lit(7)))
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_h", *key))
+    first = distinct.withColumn("_n", place).where(F.col("_n") <= per_class)
+    return first.orderBy("_n", "_h", label, *key).limit(total).select(label, *key)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each of a bounded sample of ``labels``, with ``_y`` (0 or 1; other labels, nulls and held-out ids are left out).
+
+    An id with both labels counts as 1. Of rows with one id that with the smallest text hash is taken.
     """
-    counts = rows.groupBy(label).agg(F.count("*").alias("n")).orderBy(F.desc("n"), label).limit(classes).collect()
-    if not counts:
-        return rows.limit(0)
-    per_class = min(per_class, max(1, total // len(counts)))
-    share = F.lit(0)
-    for value, n in counts:
-        share = F.when(F.col(label) == F.lit(value), F.lit(int(min(1.0, per_class / n) * _FINE))).otherwise(share)
-    return rows.where(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(_FINE)) < share)
-
-
-def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` that aren't held out, with a bounded sample of ``labels`` (0 or 1; other labels and nulls left out)."""
     known = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id")))
-    picked = by_class(known, "_y", "_id", per_class, 2 * per_class).groupBy("_id").agg(F.max("_y").alias("_y"))
-    return docs.join(F.broadcast(picked), docs[id_col] == picked["_id"])  # about 2 * per_class rows
+    picked = by_class(known.groupBy("_id").agg(F.max("_y").alias("_y")), "_y", ["_id"], per_class, 2 * per_class)
+    rows = docs.where(short(F.col(text_col))).join(F.broadcast(picked), docs[id_col] == picked["_id"])  # 2 * per_class ids at most
+    return rows.groupBy("_id").agg(F.min(F.struct(F.xxhash64(text_col).alias("_h"), "_y", *docs.columns)).alias("_r")).select("_r._y", *(f"_r.{c}" for c in docs.columns))

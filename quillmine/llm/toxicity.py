@@ -111,8 +111,8 @@ def fit(y: np.ndarray, lists: list[np.ndarray], rounds: int = 1500) -> dict[str,
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> dict[str, np.ndarray]:
-    """Fit on about ``per_class`` documents of each class at most, none of them held out."""
-    rows = labelled(docs.select(F.col(id_col), F.col(text_col)), labels.withColumnRenamed("doc_id", id_col), "toxic", per_class, id_col)
+    """Fit on ``per_class`` documents of each class at most, none of them held out."""
+    rows = labelled(docs.select(F.col(id_col), F.col(text_col)), labels.withColumnRenamed("doc_id", id_col), "toxic", per_class, id_col, text_col)
     got = rows.select(F.col("_y").cast("int").alias("y"), F.col(text_col).alias("text")).mapInArrow(_document_features, "y int, features array<long>").toArrow()
     y = np.array(got["y"].to_pylist(), np.int64)
     lists = [np.array(x.values) for column in got["features"].chunks for x in column]
