@@ -1,15 +1,17 @@
 """Personal data: exact patterns, and a skip-chain conditional random field that adds spans of like tokens.
 
 The patterns (email, ip, card, phone) are scanned in linear time. The field labels tokens that hold a digit or an ``@``; all
-other tokens are outside by definition, so they cut the chain and need no node. Neighbouring candidate tokens are linked
-by a learned label-to-label potential; distant tokens of a document that are equal, or whose digits are (six or more), are linked
-to their next such token by a learned agreement potential. Marginals come from loopy sum-product message passing over
-all documents of a batch at once, in a fixed number of damped rounds.
-
-Weights are fitted here by pseudo-likelihood, with the patterns' own spans as labels, on a bounded sample of documents.
-A node's features are its shape (digit runs by length, letter runs as one), its length and its neighbours' first shape
-characters; the label is thus learned from form and context, and repeated mentions pull each other along. Runs of
-tokens with one label, sure enough (MARGIN), become spans, if they overlap no span of a pattern.
+other tokens are outside by definition, so they cut the chain and need no node. Neighbouring candidate tokens are linked by a
+learned label-to-label potential. Distant tokens of a document that are equal, or whose digits are (six or more), are tied by a learned
+agreement potential to the first such token, so any two mentions are two links apart, however many lie between. Tokens inside a
+pattern's span are observed: their label is given, and it is what the links carry to the other mentions. Marginals come from loopy sum-product
+message passing over all documents of a batch at once, damped, until no message changes by more than TOLERANCE (at most ROUNDS rounds).
+
+Weights are fitted here by pseudo-likelihood, with the patterns' own spans as labels, on a bounded sample of texts. A node's features are
+its form (shape, length, check digit, its neighbours' shapes) and its context (the words around it). Patterns are
+functions of the form, so a second copy of each token is learned from with its form hidden: only so do context and links get weights of
+their own, which find mentions that no pattern fits. Runs of tokens with one label, sure enough (MARGIN), become
+spans, if they overlap no span of a pattern.
 """
 
 from __future__ import annotations
@@ -25,10 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound on the documents that the field is fitted on; they are picked by a hash of the text.
-SAMPLE_ROWS = 3000
+#: Bounds on the distinct texts that the field is fitted on, picked by a hash, and on their bytes together.
+SAMPLE_ROWS, SAMPLE_BYTES = 3000, 1 << 26
+#: Hashed features; the number after the last stands for a hidden one, without weight.
 BUCKETS = 1 << 12
-ROUNDS, DAMPING, MARGIN = 8, 0.3, 0.9
+ROUNDS, TOLERANCE, DAMPING, MARGIN = 100, 1e-4, 0.3, 0.9
+#: Features of a token's form come first, then those of its context.
+FORM, CONTEXT = 6, 3
+#: What keeps a pattern's token at its label.
+_OBSERVED = 1e4
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -80,7 +87,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _shape(token: str) -> str:
-    return _SHAPE.sub(lambda m: f"d{min(len(m[1]), 20)}" if m[1] else "a", token[:80])
+    return _SHAPE.sub(lambda m: f"d{min(len(m[1]), 20)}" if m[1] else "a", token)
+
+
+def _check(core: str) -> str:
+    """Whether a token of many digits has a check digit, and one of parts between dots holds bytes."""
+    digits = _NOT_DIGIT.sub("", core)
+    parts = core.split(".")
+    known = luhn(digits) if 14 <= len(digits) <= 19 else "-"
+    return f"{known}{all(p.isdecimal() and len(p) <= 3 and int(p) <= 255 for p in parts) if len(parts) == 4 else '-'}"
 
 
 def _bucket(feature: str) -> int:
@@ -95,46 +110,39 @@ class Graph:
         self.features: list[list[int]] = []
         self.chain: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
-        known: dict[str, int] = {}
+        self._known: dict[str, int] = {}
         for d, text in enumerate(texts):
-            if not _TRIGGER.search(text):
+            if _TRIGGER.search(text):
+                self._add(d, text)
+
+    def _add(self, d: int, text: str) -> None:
+        words = [(m[0], m.start()) for m in _TOKEN.finditer(text)]
+        cores = [w.strip(".,;:!?\"'") if _TRIGGER.search(w) else "" for w, _ in words]
+        shapes = [_shape(c) if c else "-" for c in cores]
+        first: dict[str, int] = {}
+
+        def word(i: int) -> str:
+            return "#" if not 0 <= i < len(words) else "0" if cores[i] else words[i][0].strip(".,;:!?\"'()").lower()
+
+        for i, core in enumerate(cores):
+            if not core:
                 continue
-            before, last_end, seen = None, -1, {}
-            tokens = []
-            for m in _TOKEN.finditer(text):
-                if not _TRIGGER.search(m[0]):
-                    before = None
-                    continue
-                core = m[0].strip(".,;:!?\"'")
-                if not core:
-                    before = None
-                    continue
-                start = m.start() + m[0].index(core)
-                n = len(self.at)
-                self.at.append((d, start, start + len(core)))
-                tokens.append((n, core))
-                tied = before
-                if before is not None:
-                    self.chain.append((before, n))
-                before = n
-                digits, before_it = _NOT_DIGIT.sub("", core), set()
-                for key in {"t" + core.lower(), *(["d" + digits] if len(digits) >= 6 else [])}:
-                    if (other := seen.get(key)) is not None and other != tied:
-                        before_it.add(other)
-                    seen[key] = n
-                self.skip += [(other, n) for other in sorted(before_it)]
-            shapes = [_shape(core) for _, core in tokens]
-            place = {n: i for i, (n, _) in enumerate(tokens)}
-            linked = {b: a for a, b in self.chain[-len(tokens) :] if a in place and b in place}
-            follows = {a: b for b, a in linked.items()}
-            for i, (n, core) in enumerate(tokens):
-                left = shapes[place[linked[n]]] if n in linked else "-"
-                right = shapes[place[follows[n]]] if n in follows else "-"
-                names = (f"s{shapes[i]}", f"l{min(len(core), 40)}", f"p{shapes[i][:2]}|{left[-3:]}", f"n{shapes[i][-2:]}|{right[:3]}", f"c{left}|{shapes[i]}|{right}")
-                for name in names:
-                    if name not in known:
-                        known[name] = _bucket(name)
-                self.features.append([known[name] for name in names])
+            n, start = len(self.at), words[i][1] + words[i][0].index(core)
+            self.at.append((d, start, start + len(core)))
+            if i and cores[i - 1]:
+                self.chain.append((n - 1, n))
+            digits = _NOT_DIGIT.sub("", core)
+            like = {first.setdefault(key, n) for key in ("t" + core.lower(), *(["d" + digits] if len(digits) >= 6 else []))}
+            self.skip += [(other, n) for other in sorted(like) if other != n and not (other == n - 1 and i and cores[i - 1])]
+            left, own, right = shapes[i - 1] if i else "-", shapes[i], shapes[i + 1] if i + 1 < len(shapes) else "-"
+            form = (f"s{own}", f"l{min(len(core), 40)}", f"p{own[:2]}|{left[-3:]}", f"n{own[-2:]}|{right[:3]}", f"c{left}|{own}|{right}", f"k{_check(core)}")
+            context = (f"b{word(i - 1)}", f"a{word(i + 1)}", f"2{word(i - 2)}|{word(i - 1)}")
+            self.features.append([self._bucket(name) for name in (*form, *context)])
+
+    def _bucket(self, name: str) -> int:
+        if name not in self._known:
+            self._known[name] = _bucket(name)
+        return self._known[name]
 
     def labels(self, spans: list[list[tuple[int, int, int]]]) -> np.ndarray:
         """For each token, 1 + the kind of a span that it overlaps, else 0."""
@@ -147,52 +155,60 @@ class Graph:
         return out
 
 
-def fit(texts: list[str], rounds: int = 200) -> dict[str, np.ndarray]:
-    """Weights by pseudo-likelihood: a token's label given its features and its linked tokens' labels."""
+def fit(texts: list[str], rounds: int = 600) -> dict[str, np.ndarray]:
+    """Weights by pseudo-likelihood: a token's label given its features (all of them, and its context alone) and its linked tokens' labels."""
     graph, k = Graph(texts), len(KINDS) + 1
-    w = {"node": np.zeros((BUCKETS, k)), "pair": np.zeros((k, k)), "skip": np.zeros(1)}
+    w = {"node": np.zeros((BUCKETS + 1, k)), "pair": np.zeros((k, k)), "skip": np.zeros(1)}
     if not graph.at:
-        w["node"][:, 0] = 1.0
+        w["node"][:BUCKETS, 0] = 1.0
         return w
     y = graph.labels([base_spans(t) for t in texts])
-    x = np.array(graph.features)
+    whole = np.array(graph.features)
+    hidden = whole.copy()
+    hidden[:, :FORM] = BUCKETS
+    x, n = np.concatenate([whole, hidden]), len(y)
     chain = np.array(graph.chain, np.int64).reshape(-1, 2)
     skip = np.array(graph.skip, np.int64).reshape(-1, 2)
-    agree = np.zeros((len(y), k))
+    agree = np.zeros((n, k))
     np.add.at(agree, (skip[:, 0], y[skip[:, 1]]), 1)
     np.add.at(agree, (skip[:, 1], y[skip[:, 0]]), 1)
-    hot = np.eye(k)[y]
-    sums = {n: np.zeros_like(v) for n, v in w.items()}
+    agree, hot = np.concatenate([agree, agree]), np.eye(k)[np.concatenate([y, y])]
+    sums = {name: np.zeros_like(v) for name, v in w.items()}
     for _ in range(rounds):
         score = w["node"][x].sum(1) + agree * w["skip"]
-        np.add.at(score, chain[:, 1], w["pair"][y[chain[:, 0]]])
-        np.add.at(score, chain[:, 0], w["pair"].T[y[chain[:, 1]]])
+        for half in (0, n):
+            np.add.at(score, half + chain[:, 1], w["pair"][y[chain[:, 0]]])
+            np.add.at(score, half + chain[:, 0], w["pair"].T[y[chain[:, 1]]])
         p = np.exp(score - score.max(1, keepdims=True))
-        g = (hot - p / p.sum(1, keepdims=True)) / len(y)
+        g = (hot - p / p.sum(1, keepdims=True)) / n
         node = np.zeros_like(w["node"])
         for j in range(x.shape[1]):
             np.add.at(node, x[:, j], g)
-        pair = np.zeros_like(w["pair"])
-        np.add.at(pair, y[chain[:, 0]], g[chain[:, 1]])
-        back = np.zeros_like(pair)
-        np.add.at(back, y[chain[:, 1]], g[chain[:, 0]])
+        node[BUCKETS] = 0
+        both = g[:n] + g[n:]
+        pair, back = np.zeros_like(w["pair"]), np.zeros_like(w["pair"])
+        np.add.at(pair, y[chain[:, 0]], both[chain[:, 1]])
+        np.add.at(back, y[chain[:, 1]], both[chain[:, 0]])
         grads = {"node": node, "pair": pair + back.T, "skip": np.array([(g * agree).sum()])}
-        for n, grad in grads.items():
-            grad = grad - 1e-5 * w[n]
-            sums[n] += grad * grad
-            w[n] += 0.5 * grad / np.sqrt(sums[n] + 1e-12)
+        for name, grad in grads.items():
+            grad = grad - 1e-5 * w[name]
+            sums[name] += grad * grad
+            w[name] += 0.5 * grad / np.sqrt(sums[name] + 1e-12)
     w["skip"] = np.maximum(w["skip"], 0.0)
     return w
 
 
-def marginals(graph: Graph, w: dict[str, np.ndarray]) -> np.ndarray:
-    """Label probabilities of every token by loopy sum-product message passing."""
-    n, k = len(graph.at), len(KINDS) + 1
+def marginals(graph: Graph, w: dict[str, np.ndarray], observed: np.ndarray | None = None, skips: bool = True) -> np.ndarray:
+    """Label probabilities of every token by loopy sum-product message passing; exact where the links form no loop.
+
+    ``observed``: for each token its given label, or 0. ``skips``: whether distant mentions are linked.
+    """
+    k = len(KINDS) + 1
     node = w["node"][np.array(graph.features)].sum(1)
-    edges = np.array(graph.chain + graph.skip, np.int64).reshape(-1, 2)
-    if not len(edges):
-        p = np.exp(node - node.max(1, keepdims=True))
-        return p / p.sum(1, keepdims=True)
+    if observed is not None:
+        given = np.flatnonzero(observed)
+        node[given, observed[given]] += _OBSERVED
+    edges = np.array(graph.chain + (graph.skip if skips else []), np.int64).reshape(-1, 2)
     of_skip = np.arange(len(edges)) >= len(graph.chain)
     potentials = np.where(of_skip[:, None, None], np.eye(k) * w["skip"], w["pair"])
     both = np.concatenate([potentials, potentials.transpose(0, 2, 1)])
@@ -200,26 +216,30 @@ def marginals(graph: Graph, w: dict[str, np.ndarray]) -> np.ndarray:
     dst = np.concatenate([edges[:, 1], edges[:, 0]])
     back = np.r_[len(edges) : 2 * len(edges), 0 : len(edges)]
     message = np.zeros((2 * len(edges), k))
-    for _ in range(ROUNDS):
-        belief = node.copy()
-        np.add.at(belief, dst, message)
-        out = (belief[src] - message[back])[:, :, None] + both
+
+    def beliefs() -> np.ndarray:
+        return node + np.stack([np.bincount(dst, message[:, j], len(node)) for j in range(k)], axis=1)
+
+    for _ in range(ROUNDS if len(edges) else 0):
+        out = (beliefs()[src] - message[back])[:, :, None] + both
         top = out.max(1)
         new = top + np.log(np.exp(out - top[:, None, :]).sum(1))
         new -= new.max(1, keepdims=True)
+        change = np.abs(new - message).max()
         message = DAMPING * message + (1 - DAMPING) * new
-    belief = node.copy()
-    np.add.at(belief, dst, message)
+        if change <= TOLERANCE:
+            break
+    belief = beliefs()
     p = np.exp(belief - belief.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
 
-def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], w: dict[str, np.ndarray]) -> list[list[tuple[int, int, int]]]:
+def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], w: dict[str, np.ndarray], skips: bool = True) -> list[list[tuple[int, int, int]]]:
     """Spans of the field's labels, beside those of the patterns."""
     graph, out = Graph(texts), [[] for _ in texts]
     if not graph.at:
         return out
-    p = marginals(graph, w)
+    p = marginals(graph, w, graph.labels(base), skips)
     label = np.where(p.max(1) >= MARGIN, p.argmax(1), 0)
     tied = {b: a for a, b in graph.chain}
     runs: dict[int, list[int]] = {}
@@ -231,8 +251,11 @@ def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], w: dic
     for first, members in runs.items():
         d, start, _ = graph.at[first]
         end = graph.at[members[-1]][2]
+        kind, digits = int(label[first]) - 1, _NOT_DIGIT.sub("", texts[d][start:end])
+        if kind == 2 and 14 <= len(digits) <= 19 and not luhn(digits):
+            continue  # of a card's length without its check digit: no card, as for the pattern
         if not any(s < end and start < e for s, e, _ in base[d]):
-            out[d].append((start, end, int(label[first]) - 1))
+            out[d].append((start, end, kind))
     return out
 
 
@@ -250,14 +273,20 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def sample_texts(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS) -> list[str]:
-    """At most about ``rows`` of the texts that hold a digit or an ``@``, picked by hash, so alike in any partitioning."""
+def sample_texts(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> list[str]:
+    """At most ``rows`` distinct texts that hold a digit or an ``@``, of ``size`` bytes together: those of the smallest hashes, so alike in any partitioning."""
     text = F.col(text_col)
-    able = docs.select(text.alias("t")).where(text.rlike("[0-9@]"))
-    total = able.count()
-    share = min(1.0, rows / max(1, total))
-    picked = able.where(F.pmod(F.xxhash64("t", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    return sorted(r[0] for r in picked.limit(2 * rows).collect())
+    able = docs.select(text.alias("t"), F.xxhash64(text, F.lit(1)).alias("h")).where(text.rlike("[0-9@]"))
+    first = able.groupBy("h").agg(F.min(F.octet_length("t")).alias("n")).orderBy("h").limit(rows).collect()
+    kept, total = [], 0
+    for h, n in first:
+        if total + n <= size:
+            kept.append((h,))
+            total += n
+    if not kept:
+        return []
+    picked = F.broadcast(docs.sparkSession.createDataFrame(kept, "h long"))
+    return sorted(r.t for r in able.join(picked, "h").groupBy("h").agg(F.min("t").alias("t")).collect())
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", weights: dict[str, np.ndarray] | None = None, redact: bool = False) -> DataFrame:
