@@ -4,7 +4,8 @@ All in DataFrame expressions. A listed URL sets one bit in each of the eight 32-
 rows (block, eight words); a page reads one of them. Pages whose bits are all set are possible hits, and only
 these go to an exact hash join with the list, which removes the false positives.
 The blocks are broadcast while they take at most BROADCAST_BYTES, by the size computed from the list's count;
-beyond that they are joined by block number, and the possible hits are as few.
+beyond that they are joined by block number, and the possible hits are as few. The list is written down once; only possible hits are
+shuffled with it, in a hash join whose tables hold distinct listed URLs.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lineage import cut
+
 WORDS = 8
 #: Bits of the filter for each listed URL: about 1 in 200 unlisted ones pass.
 BITS_PER_URL = 16
@@ -47,9 +50,7 @@ def canonical(url: Column) -> Column:
 
 
 def fitting_rule(host_: Column, path_: Column, rules: tuple = RULES) -> Column:
-    """The struct (rule, verdict) of the longest rule that fits, or null. For lists of at most 200 rules."""
-    if len(rules) > 200:
-        raise ValueError("a longer list of rules must be a table")
+    """The struct (rule, verdict) of the longest rule that fits, or null. The rules become one expression, so they are meant to be few."""
     out = F.lit(None).cast("struct<rule:string,verdict:string>")
     for verdict, h, p in sorted(rules, key=lambda r: (len(r[1] + r[2]), r)):
         fits = ((host_ == h) | F.endswith(host_, F.lit("." + h))) & F.startswith(path_, F.lit(p))
@@ -78,7 +79,7 @@ def judge(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col:
     allow. A null or malformed URL has an empty host and path, no rule, and is never listed. Null and malformed list entries and
     repeated ones count for nothing. Repeated pages stay; other columns aren't read. Empty tables give no rows, or no hits.
     """
-    keys = listed.select(canonical(F.col(listed_col)).alias("key")).where("key <> ''").distinct()
+    keys = cut(listed.select(canonical(F.col(listed_col)).alias("key")).where("key <> ''").distinct())
     count = keys.count()
     blocks = max(1, -(-count * BITS_PER_URL // (32 * WORDS)))
     filter_ = bloom(keys, blocks)
@@ -90,7 +91,7 @@ def judge(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col:
     seen = seen.withColumn("fit", fit).withColumn("h", F.xxhash64("key"))
     # a page that a rule decides, or that has no URL, asks for no block; it gets a number that no block has, by its hash
     asks = F.col("fit").isNull() & (F.col("key") != "")
-    seen = seen.withColumn("asked", F.when(asks, F.pmod(F.shiftright("h", 32), F.lit(blocks))).otherwise(-1 - F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(1 << 20))))
+    seen = seen.withColumn("asked", F.when(asks, F.pmod(F.shiftright("h", 32), F.lit(blocks))).otherwise(-1 - F.pmod(F.xxhash64("page_id", "key", "path"), F.lit(1 << 20))))
     probed = seen.join(filter_, seen["asked"] == filter_["block"], "left")
     bits = _bits(F.col("h"))
     passes = F.lit(True)
@@ -98,7 +99,7 @@ def judge(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col:
         passes = passes & (F.col(f"w{i}").bitwiseAND(bits[i]) != 0)
     probed = probed.withColumn("maybe", F.coalesce(asks & passes, F.lit(False))).select("page_id", "host", "path", "key", "fit", "maybe")
     sure = probed.where(~F.col("maybe")).select("page_id", "host", "path", "fit", F.lit(False).alias("listed"))
-    exact = keys.select(F.col("key").alias("k"), F.lit(True).alias("hit"))
+    exact = keys.select(F.col("key").alias("k"), F.lit(True).alias("hit")).hint("shuffle_hash")  # distinct keys, so no hash table is a hot one
     possible = probed.where("maybe")
     checked = possible.join(exact, possible["key"] == exact["k"], "left").select("page_id", "host", "path", "fit", F.coalesce("hit", F.lit(False)).alias("listed"))
     verdict = F.coalesce(F.col("fit")["verdict"], F.when(F.col("listed"), "block").otherwise("allow"))
