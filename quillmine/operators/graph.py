@@ -5,23 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lineage import cut
+from .lineage import cut, discard
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of the undirected ``edges`` (columns u, v): root is the smallest node that it reaches.
 
-    Alternating large-star and small-star rounds, a logarithmic number of them; each is checkpointed. Nothing is gathered by node.
+    Alternating large-star and small-star rounds, a logarithmic number of them. Nothing is gathered by node: neighbours' minima are
+    aggregated before the shuffle and written down, so the joins with them read plain shuffles, which adaptive execution splits at a hub. Each
+    round's files go when the next round has been written.
     """
     now = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     seen = None
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = cut(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         stars = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))))
-        now = cut(large.join(low, "u").select(stars.alias("e")).select("e.u", "e.v").where("u <> v").distinct())
+        before, now = now, cut(large.join(least, "u").select(stars.alias("e")).select("e.u", "e.v").where("u <> v").distinct())
+        for old in (before, low, large, least):
+            discard(old)
         sign = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sign == seen or not sign[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -27,3 +27,17 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, computed once and read from a reliable checkpoint from then on."""
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared store, whatever its scheme."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a checkpoint that :func:`cut` made and nothing reads any more."""
+    file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        remove(df.sparkSession, file.get())
