@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..operators.lineage import cut
+from ..operators.lineage import cut, discard
 from .simhash import FOLD, SLAB, majority, near_groups
 
 WIDTH = 5
@@ -195,10 +195,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     own = rows.select("root", F.lit(0).alias("i"), _number(F.col("same"), F.col("chunks"), 1).alias("j"), "same", "found")
     links = _celled(own.union(_led(rows)), _set_links)
     big = rows.where("chunks > 1")
-    if big.isEmpty():
-        return _named(base, components(links))
-    links = cut(links)
-    return _named(base, components(links.union(_rest(big, components(links)))))
+    if not big.isEmpty():
+        links = cut(links)
+        links = links.union(_rest(big, components(links)))
+    roots = components(links)
+    for done in (members, rows):
+        discard(done)
+    return _named(base, roots)
 
 
 def _led(rows: DataFrame) -> DataFrame:
