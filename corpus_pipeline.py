@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmine.llm import decontaminate, mixing, nearcopies, pii, toxicity
-from quillmine.operators.lineage import cut, use_checkpoint_dir
+from quillmine.operators.lineage import cut, remove, use_checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Row keys that are broadcast, about 40 bytes each; beyond that documents and keys are joined by a shuffle.
@@ -109,11 +109,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. Their tables go to the folder that executors share."""
+    """All stages over ``documents``. Their tables go to the folder that executors share; each goes when the next is written."""
     use_checkpoint_dir(spark)
     folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}-{name}")
         docs = spark.read.parquet(f"{folder}/{i}-{name}")
+        if i:
+            remove(spark, f"{folder}/{i - 1}-{STAGES[i - 1][0]}")
     return docs
