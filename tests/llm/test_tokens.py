@@ -51,3 +51,16 @@ def test_a_full_table_keeps_what_is_used(counts, monkeypatch):
     seen = fresh.encoded
     tokens.token_counts(pa.array(["x again and"]), fresh)
     assert fresh.encoded <= seen + 1
+
+
+def test_same_spans_of_any_length():
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 99, 600, dtype=np.uint8)
+    starts = np.sort(rng.integers(0, 570, 400))
+    ends = starts + rng.integers(0, 30, 400)
+    other = rng.integers(0, 400, 400)
+    for i in range(0, 400, 3):
+        other[i] = i
+    raw = data.tobytes()
+    want = [raw[a:b] == raw[starts[j] : ends[j]] for a, b, j in zip(starts, ends, other)]
+    assert textbytes.same_spans(data, starts, ends, other).tolist() == want
