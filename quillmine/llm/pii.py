@@ -175,15 +175,17 @@ def fit(texts: list[str], rounds: int = 600) -> dict[str, np.ndarray]:
     agree, hot = np.concatenate([agree, agree]), np.eye(k)[np.concatenate([y, y])]
     sums = {name: np.zeros_like(v) for name, v in w.items()}
     for _ in range(rounds):
-        score = w["node"][x].sum(1) + agree * w["skip"]
+        score = agree * w["skip"]
+        for column in x.T:
+            score += w["node"][column]
         for half in (0, n):
             np.add.at(score, half + chain[:, 1], w["pair"][y[chain[:, 0]]])
             np.add.at(score, half + chain[:, 0], w["pair"].T[y[chain[:, 1]]])
         p = np.exp(score - score.max(1, keepdims=True))
         g = (hot - p / p.sum(1, keepdims=True)) / n
         node = np.zeros_like(w["node"])
-        for j in range(x.shape[1]):
-            np.add.at(node, x[:, j], g)
+        for column in x.T:
+            node += np.stack([np.bincount(column, g[:, j], BUCKETS + 1) for j in range(k)], axis=1)
         node[BUCKETS] = 0
         both = g[:n] + g[n:]
         pair, back = np.zeros_like(w["pair"]), np.zeros_like(w["pair"])
@@ -204,7 +206,9 @@ def marginals(graph: Graph, w: dict[str, np.ndarray], observed: np.ndarray | Non
     ``observed``: for each token its given label, or 0. ``skips``: whether distant mentions are linked.
     """
     k = len(KINDS) + 1
-    node = w["node"][np.array(graph.features)].sum(1)
+    node = np.zeros((len(graph.at), k))
+    for column in np.array(graph.features).T:
+        node += w["node"][column]
     if observed is not None:
         given = np.flatnonzero(observed)
         node[given, observed[given]] += _OBSERVED
