@@ -8,25 +8,19 @@ from pyspark.sql import functions as F
 from .lineage import cut, discard
 
 
-def _dealt_anew(minima: DataFrame) -> DataFrame:
-    """The same rows with no known partitioning by u: a join then shuffles them by itself, and adaptive execution may split a hub's side."""
-    return minima.withColumn("u", F.col("u").bitwiseXOR(F.lit(0).cast(minima.schema["u"].dataType)))
-
-
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` for every node of the undirected ``edges`` (columns u, v, whole numbers): root is the smallest node that it reaches.
+    """``node, root`` for every node of the undirected ``edges`` (columns u, v): root is the smallest node that it reaches.
 
-    Alternating large-star and small-star rounds, a logarithmic number of them. Nothing is gathered by node: neighbours' minima are
-    aggregated before their shuffle, and the joins with them read plain shuffles, which adaptive execution splits at a hub. A round is
-    written once, and its files go when the next is written.
+    Alternating large-star and small-star rounds, a logarithmic number of them. Nothing is gathered by node: neighbours' minima are aggregated
+    before their shuffle, and a join streams a hub's edges past its one minimum. A round is written once, and its files go when the next is written.
     """
     now = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     seen = None
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = _dealt_anew(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = _dealt_anew(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         stars = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))))
         before, now = now, cut(large.join(low, "u").select(stars.alias("e")).select("e.u", "e.v").where("u <> v").distinct())
         discard(before)
