@@ -25,7 +25,7 @@ def organism_names(observations: DataFrame, attempts: DataFrame, listed: DataFra
     names = names.union(attempts.select(F.col("species").alias("organism")).where("organism <> ''"))
     if listed is not None:
         names = names.union(listed.select("value"))
-    return names.distinct()
+    return names.distinct().orderBy("organism")
 
 
 def organism_queries(organisms: DataFrame, phrases: list[str] = vocabulary.PHRASES.technique) -> DataFrame:
@@ -34,6 +34,28 @@ def organism_queries(organisms: DataFrame, phrases: list[str] = vocabulary.PHRAS
     return organisms.select("organism", F.concat(F.lit('"'), F.col("organism"), F.lit(f'" AND {group}')).alias("query"))
 
 
+def search_plan(topics: list[str] = vocabulary.REVIEW_TOPICS) -> list[tuple[str, str, str, str]]:
+    """(route, place, query, sort) of the list-driven searches: broad ones, those for failures, and reviews of a topic, by relevance and by citations."""
+    context = " OR ".join(vocabulary.ORGANISM_TERMS)
+    plan = [("broad_keyword", q, "") for q in vocabulary.BROAD_QUERIES] + [("negative_keyword", f"{p} AND ({context})", "") for p in vocabulary.FAILURE_QUERY_PHRASES]
+    plan += [("review_topic", f'({t}) AND (PUB_TYPE:"Review")', sort) for t in topics for sort in ("", "CITED desc")]
+    return [(route, str(i), query, sort) for i, (route, query, sort) in enumerate(plan)]
+
+
+def phrase_plan() -> list[tuple[str, str]]:
+    """(source, query) of the searches without an organism (S41): generic and first-of-its-kind phrases, and phrases of failure, each quoted."""
+    quoted = lambda p: f'"{p}"' if " " in p else p
+    generic = [("generic_technique_search", quoted(p)) for p in [*vocabulary.GENERIC_DISCOVERY, *vocabulary.NOVELTY]]
+    return generic + [("failure_phrase_search", f'"{p}"') for p in vocabulary.FAILURE_DISCOVERY]
+
+
+def run_tally(found: DataFrame, known: DataFrame, key: str = "paper_id") -> DataFrame:
+    """One row: distinct papers of a run, of which new, of which known before and enriched."""
+    rows = found.select(key).distinct().join(known.select(key).distinct().withColumn("there", F.lit(True)), key, "left")
+    there = F.coalesce("there", F.lit(False))
+    return rows.agg(F.count("*").alias("n_papers"), F.count_if(~there).alias("n_new"), F.count_if(there).alias("n_enriched"))
+
+
 def references(reviews: DataFrame, body_col: str = "body") -> DataFrame:
     """Cited records of reviews' reference lists (JSON in ``body``): those with a title or identifier; a missing title gets a stand-in."""
     kind = "struct<referenceList:struct<reference:array<struct<id:string,source:string,title:string,doi:string,pubYear:string,journalAbbreviation:string,authorString:string>>>>"

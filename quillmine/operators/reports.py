@@ -48,6 +48,28 @@ def review_export(observations: DataFrame, matches: DataFrame, papers: DataFrame
     return out.na.fill("")
 
 
+def verified_ratio(observations: DataFrame, flags_col: str = "qc_flags", flag: str = "evidence_unverified") -> DataFrame:
+    """``n_total, n_unverified, n_verified``: observations whose quotes were found in their source, by the absence of a flag."""
+    flagged = F.contains(F.coalesce(F.col(flags_col), F.lit("")), F.lit(flag))
+    return observations.agg(F.count("*").alias("n_total"), F.count_if(flagged).alias("n_unverified"), F.count_if(~flagged).alias("n_verified"))
+
+
+def readiness(rows: DataFrame, body_col: str = "body", abstract_col: str = "abstract") -> DataFrame:
+    """``n_full, n_abstract_only, n_neither`` in one pass: papers with a cached full text, with an abstract only, with neither."""
+    full, abstract = F.col(body_col).isNotNull(), F.coalesce(F.col(abstract_col), F.lit("")) != ""
+    return rows.agg(F.count_if(full).alias("n_full"), F.count_if(~full & abstract).alias("n_abstract_only"), F.count_if(~full & ~abstract).alias("n_neither"))
+
+
+def ranked_counts(rows: DataFrame, *keys: str) -> DataFrame:
+    """Counts by ``keys``, the largest first."""
+    return count_by(rows, *keys).orderBy(F.desc("n"), *keys)
+
+
+def preview(rows: DataFrame, order_cols: list[str], n: int = 10) -> DataFrame:
+    """The first ``n`` rows of a report."""
+    return rows.orderBy(*order_cols).limit(n)
+
+
 def tally(rows: DataFrame, set_col: str) -> DataFrame:
     """``value, n``: how many rows hold each element of an array of distinct values."""
     return rows.select(F.explode(set_col).alias("value")).groupBy("value").agg(F.count("*").alias("n"))

@@ -118,6 +118,22 @@ def _rows(entities: list[dict], names: list[str]) -> pd.DataFrame:
     return pd.DataFrame([e | {"discovery_route": sorted(filter(None, e["discovery_route"]))} for e in entities], columns=names)
 
 
-def append_new(present: DataFrame, more: DataFrame, key: str) -> DataFrame:
-    """``present``, then the first row of each key of ``more`` that it lacks (columns by name)."""
-    return present.unionByName(more.dropDuplicates([key]).join(present, key, "left_anti"))
+def append_new(present: DataFrame, more: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
+    """``present``, then the first row of each key of ``more`` that it lacks (columns by name): the first by ``order_col``, else the smallest row.
+
+    ``order_col`` may be a column that ``present`` lacks; it is left out of the result then.
+    """
+    names = [c for c in more.columns if c in present.columns and c != key]
+    order = [order_col] if order_col else []
+    first = more.groupBy(key).agg(F.min(F.struct(*order, *(F.col(c).alias(f"_{c}") for c in names))).alias("r")).select(key, *(F.col(f"r._{c}").alias(c) for c in names))
+    return present.unionByName(first.join(present.select(key), key, "left_anti"))
+
+
+def split_routes(records: DataFrame, route_col: str = "discovery_route", order_col: str = "n") -> DataFrame:
+    """One record for each route of a compound one (``a|b``), in their order, numbered anew by ``order_col``: a struct of the old number and the place.
+
+    A record without a route stays as one.
+    """
+    each = records.withColumn("_routes", F.filter(F.split(F.coalesce(F.col(route_col), F.lit("")), r"\|"), lambda r: F.trim(r) != ""))
+    rows = each.select(*(c for c in records.columns if c not in (route_col, order_col)), F.col(order_col).alias("_n"), F.posexplode_outer("_routes").alias("_place", "_route"))
+    return rows.withColumns({route_col: F.coalesce(F.trim("_route"), F.lit("")), order_col: F.struct(F.col("_n").alias("n"), F.coalesce("_place", F.lit(0)).alias("place"))}).drop("_n", "_place", "_route")

@@ -28,7 +28,7 @@ def quota_batch(rows: DataFrame, limit: int, pool_col: str = "pool", order_cols:
 
 def stable_sample(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """``n`` rows by a hash of their key: the same ones for the same seed, however the table is partitioned."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
 
 
 def stratified_head(rows: DataFrame, stratum: str, order_col: str, sizes: dict[str, int]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Tagged sentences, first spans and their index."""
+"""Tagged sentences, first spans and their index."""
 
 from __future__ import annotations
 
@@ -80,3 +80,18 @@ def passage_scores(passages: DataFrame, papers: DataFrame, phrases: scoring.Phra
     title = scoring.points(lexicon.contains_any(F.col("title"), phrases.title_tools), 3) + scoring.points(lexicon.contains_any(F.col("title"), phrases.title_methods), 2)
     total = F.coalesce("p", F.lit(0)) + F.when(F.col("b"), 3).otherwise(0) + title
     return papers.join(sums, id_col, "left").select(id_col, total.cast("long").alias("score"))
+
+
+def index_of_packets(packets: DataFrame, categories: list[str], id_col: str = "paper_id") -> DataFrame:
+    """Index rows rebuilt from span packets (D10): counts of each of ``categories``, of accessions and strains, and ``has_signal``.
+
+    ``packets`` hold ``spans_by_category`` (map to arrays), ``regex_accessions`` (map to arrays), ``regex_strains`` (array) and the sentence counts.
+    """
+    n = {c: F.coalesce(F.size(F.col("spans_by_category")[c]), F.lit(0)) for c in categories}
+    n = {c: F.greatest(x, F.lit(0)) for c, x in n.items()}
+    accessions = F.aggregate(F.map_values("regex_accessions"), F.lit(0), lambda total, found: total + F.size(found))
+    signal = (n["manipulation"] > 0) & ((n["success"] > 0) | (n["failure"] > 0) | (n["strain"] > 0))
+    return packets.select(
+        id_col, *(F.coalesce(c, F.lit(0)).cast("int").alias(c) for c in ("n_sentences_total", "n_tagged_sentences")), *(x.cast("int").alias(f"n_{c}") for c, x in n.items()),
+        F.coalesce(accessions, F.lit(0)).alias("n_accessions"), F.greatest(F.coalesce(F.size("regex_strains"), F.lit(0)), F.lit(0)).alias("n_strains"), signal.alias("has_signal"),
+    )

@@ -28,9 +28,10 @@ attempts AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppke
 _PASSAGES = """
 passages AS (SELECT doc_id, generate_subscripts(s, 1) - 1 AS pos, unnest(s) AS text FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
 bucketed AS (SELECT *, ['METHODS', 'RESULTS', 'SUPPLEMENT', 'OTHER'][pos % 4 + 1] AS bucket, pos + 1 AS paragraph FROM passages)"""
-_EDGES = """
-edges AS (SELECT DISTINCT o_custkey % 1000 AS src, (o_orderkey * 7 + 3) % 1000 AS dst, CASE WHEN o_orderstatus = 'F' THEN 'cited_by' ELSE 'reference' END AS label
-  FROM orders WHERE o_orderkey % 10 = 0)"""
+_LINKS = """
+pairs AS (SELECT DISTINCT o_custkey * 2 AS c, l_partkey * 2 + 1 AS p FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+edges AS (SELECT c AS src, p AS dst, 'reference' AS label FROM pairs UNION ALL SELECT p, c, 'cited_by' FROM pairs),
+seeds AS (SELECT c_custkey * 2 AS node FROM customer WHERE c_acctbal > 9900)"""
 _TRIAGE = """
 triage AS (SELECT d.doc_id, CASE quality WHEN 1 THEN 'yes' WHEN 0 THEN 'no' ELSE 'maybe' END AS decision, quality IS NOT NULL AS abstract_available
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -91,14 +92,7 @@ ORACLES["species_strain_counts"] = f"""WITH {_ATTEMPTS} SELECT count(*) AS n_att
 ORACLES["multi_strain_papers"] = f"WITH {_ATTEMPTS} SELECT paper_id, count(DISTINCT strain) AS n_strains FROM attempts WHERE strain <> '' GROUP BY 1 HAVING count(DISTINCT strain) > 1"
 ORACLES["source_tally"] = "SELECT event_type AS value, count(DISTINCT user_id) AS n FROM events WHERE user_id IS NOT NULL GROUP BY 1"
 ORACLES["attempt_report"] = f"WITH {_ATTEMPTS} SELECT a.*, o_custkey AS pmid, o_orderstatus AS doi, o_orderpriority AS paper_title FROM attempts a JOIN orders ON paper_id = o_orderkey WHERE outcome = 'failure'"
-ORACLES["review_export"] = """WITH last AS (SELECT l_orderkey, l_returnflag, l_partkey FROM lineitem WHERE l_linestatus = 'O' AND l_linenumber < 4
-    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1),
-named AS (SELECT * FROM customer WHERE c_custkey % 10 > 0)
-SELECT o_orderkey AS observation_id, o_custkey AS paper_id, o_orderpriority AS outcome, coalesce(l_returnflag, 'not_yet_matched') AS genome_match_status,
-  coalesce('GCF_' || l_partkey, '') AS genome_accession, coalesce(c_name, '') AS title, coalesce(c_mktsegment, '') AS doi
-FROM orders LEFT JOIN last ON o_orderkey = l_orderkey LEFT JOIN named ON o_custkey = c_custkey WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""
 ORACLES["pending_anti"] = "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 100"
-ORACLES["orphan_packets"] = "SELECT doc_id, quality FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0)"
 ORACLES["cache_readiness"] = """WITH r AS (SELECT doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS f, coalesce(text, '') <> '' AS a FROM documents)
 SELECT count(*) FILTER (f) AS n_full, count(*) FILTER (NOT f AND a) AS n_abstract_only, count(*) FILTER (NOT f AND NOT a) AS n_neither FROM r"""
 ORACLES["triage_summary"] = f"""WITH {_TRIAGE} SELECT count(*) AS n_triaged, count(*) FILTER (decision = 'yes') AS n_yes, count(*) FILTER (decision = 'no') AS n_no, count(*) FILTER (decision = 'maybe') AS n_maybe,
@@ -115,7 +109,6 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM papers UNION SELECT r.a, l.b FROM rea
 comp AS (SELECT a AS doc_id, min(b) AS component FROM reach GROUP BY 1),
 best AS (SELECT component, count(*) AS n_records, coalesce(arg_min(title, doc_id) FILTER (title <> ''), '') AS title, coalesce(arg_min(doi, doc_id) FILTER (doi <> ''), '') AS doi FROM comp JOIN papers USING (doc_id) GROUP BY 1)
 SELECT component, n_records, title, doi, 'P' || substr(sha1(CASE WHEN doi <> '' THEN 'doi:' || doi WHEN {_NORM.format('title')} <> '' THEN 'title:' || {_NORM.format('title')} ELSE 'title:' || title END), 1, 12) AS paper_id FROM best"""
-ORACLES["store_merge"] = """SELECT doc_id, source, lang FROM documents WHERE doc_id % 3 > 0 UNION ALL SELECT doc_id, 'new', lang FROM documents WHERE doc_id % 2 = 0 AND doc_id % 3 = 0"""
 ORACLES["paper_upsert"] = """WITH e AS (SELECT *, event_id % 2 AS half, CASE WHEN event_id % 3 = 0 THEN '' ELSE json_extract_string(props, '$.k') END AS title,
   CASE event_type WHEN 'error' THEN 1 WHEN 'signup' THEN 6 ELSE 2 END AS r, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t FROM events),
 halves AS (SELECT user_id, half, arg_max(title, event_id) FILTER (title <> '') AS title, arg_max(r, event_id) AS r, arg_min(t, event_id) AS t FROM e GROUP BY 1, 2),
@@ -127,8 +120,6 @@ FROM a FULL JOIN b USING (user_id) JOIN sets USING (user_id)"""
 ORACLES["status_update"] = """SELECT d.doc_id AS paper_id, CASE WHEN quality = 1 THEN 'extracted' WHEN toxic = 1 THEN 'manual_review_required' ELSE 'discovered' END AS processing_status
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 ORACLES["locked_merge"] = "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'updated' ELSE source END AS source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)"
-ORACLES["attempt_replace"] = """WITH new AS (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey % 4 = 0 AND l_linenumber > 5)
-SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_linenumber < 5 AND l_orderkey NOT IN (SELECT l_orderkey FROM new) UNION ALL SELECT * FROM new"""
 ORACLES["heal_placeholders"] = f"WITH {_TRIAGE} SELECT t.doc_id AS paper_id, decision, abstract_available FROM triage t JOIN documents d ON t.doc_id = d.doc_id WHERE NOT (NOT abstract_available AND coalesce(lang = 'en', false) AND coalesce(text, '') <> '')"
 ORACLES["work_queue"] = "SELECT o_orderkey AS paper_id, o_orderstatus AS processing_status, o_totalprice AS candidate_score FROM orders WHERE o_orderstatus IN ('F', 'P') ORDER BY o_totalprice DESC, o_orderdate, o_orderkey LIMIT 250"
 ORACLES["seed_union"] = "SELECT doc_id::VARCHAR AS node FROM documents WHERE doc_id % 5 = 0 UNION SELECT doc_id::VARCHAR FROM labels WHERE quality = 1 AND doc_id IN (SELECT doc_id FROM documents)"
@@ -154,10 +145,6 @@ j AS (SELECT observation_id, binomial, token, count(accession) AS n, count(*) FI
   FROM obs LEFT JOIN cat ON b = binomial GROUP BY 1, 2, 3)
 SELECT observation_id, binomial, token AS strain_token, CASE WHEN NOT contains(binomial, ' ') THEN 'not_checked' WHEN n = 0 THEN 'no_genome_found' WHEN h = 1 THEN 'exact_strain_match'
   WHEN h > 1 THEN 'multiple_possible_matches' ELSE 'species_only_match' END AS genome_match_status, CASE WHEN contains(binomial, ' ') THEN coalesce(fh, f, '') ELSE '' END AS accession, h AS n_strain_hits FROM j"""
-ORACLES["citation_bfs"] = f"""WITH RECURSIVE {_EDGES}, walk(node, hop) AS (SELECT range, 0 FROM range(5) UNION SELECT dst, hop + 1 FROM walk JOIN edges ON src = node WHERE hop < 3)
-SELECT node, min(hop)::INTEGER AS hop FROM walk GROUP BY 1"""
-ORACLES["seed_tagging"] = f"""WITH {_EDGES} SELECT dst AS node, string_agg(DISTINCT src::VARCHAR, '|' ORDER BY src::VARCHAR) AS seeds, string_agg(DISTINCT label, '|' ORDER BY label) AS labels
-FROM edges WHERE src < 50 GROUP BY 1"""
 ORACLES["triage_stub"] = """SELECT doc_id AS paper_id, CASE WHEN doc_id % 6 = 0 OR coalesce(text, '') = '' THEN 'maybe' WHEN contains(lower(source || left(text, 2500)), 'stre') THEN 'maybe'
   WHEN contains(lower(left(text, 2500)), 'license') THEN 'yes' ELSE 'no' END AS decision, NOT (doc_id % 6 = 0 OR coalesce(text, '') = '') AS abstract_available FROM documents"""
 ORACLES["incremental_ingest"] = """SELECT user_id AS paper_id, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS discovery_sources, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen_at FROM events GROUP BY 1"""
@@ -171,3 +158,65 @@ steps(no, taken) AS (
       WHERE f.no = s.no + 1 AND NOT list_contains(list_transform(s.taken, lambda y: y.paper_id), f.paper_id) ORDER BY pass, rank LIMIT 25)), []))
   FROM steps s WHERE s.no < 4)
 SELECT x.topic, x.pass, x.rank, x.paper_id FROM (SELECT unnest(taken) AS x FROM steps WHERE no = 4)"""
+ORACLES["review_table"] = """WITH last AS (SELECT l_orderkey, l_returnflag, l_partkey FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_returnflag DESC) = 1)
+SELECT o_orderkey AS observation_id, o_custkey AS paper_id, o_orderpriority AS outcome, coalesce(l_returnflag, 'not_yet_matched') AS genome_match_status,
+  coalesce('GCF_' || l_partkey, '') AS genome_accession, coalesce(c_name, '') AS title, coalesce(c_mktsegment, '') AS doi
+FROM orders LEFT JOIN last ON o_orderkey = l_orderkey LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""
+ORACLES["packet_orphans"] = "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
+ORACLES["store_append"] = "SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN source ELSE 'new' END AS source, lang FROM documents"
+ORACLES["attempts_replaced"] = """WITH new AS (SELECT l_orderkey, l_linenumber + 100 AS l_linenumber, l_partkey, l_returnflag FROM lineitem WHERE l_returnflag = 'R')
+SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM new) UNION ALL SELECT * FROM new"""
+ORACLES["citation_reach"] = f"""WITH RECURSIVE {_LINKS}, walk(node, hop) AS (SELECT node, 0 FROM seeds UNION SELECT dst, hop + 1 FROM walk JOIN edges ON src = node WHERE hop < 3)
+SELECT node, min(hop)::INTEGER AS hop FROM walk GROUP BY 1"""
+ORACLES["citation_tags"] = f"""WITH {_LINKS} SELECT dst AS node, string_agg(DISTINCT src::VARCHAR, '|' ORDER BY src::VARCHAR) AS seeds, string_agg(DISTINCT label, '|' ORDER BY label) AS labels
+FROM edges JOIN seeds ON src = node GROUP BY 1"""
+for _name, _n in (("search", "least(s_suppkey % 250, 120)"), ("references", "least(s_suppkey * 7 % 900, 600)"), ("ids", "least(s_suppkey * 13 % 900, 500)")):
+    ORACLES[f"paged_{_name}"] = f"SELECT 'q' || s_suppkey AS query, i::INTEGER AS place, s_suppkey || '-' || i AS id FROM supplier, unnest(range({_n})) AS t(i)"
+ORACLES["catalogue_summary"] = "SELECT p_partkey::VARCHAR AS uid, 'GCF_' || p_partkey AS accession, p_type AS organism, p_type || ' ' || p_name AS match_text FROM part"
+ORACLES["organism_list"] = """WITH o AS (SELECT regexp_replace(concat_ws('  ', p_brand, p_type, p_name), '\\s+', ' ', 'g') AS x FROM part UNION ALL SELECT n_name FROM nation)
+SELECT x AS organism FROM o WHERE len(string_split(x, ' ')) <= 4 UNION SELECT p_brand FROM part JOIN lineitem ON p_partkey = l_partkey"""
+ORACLES["processable_triage"] = f"""WITH {_TRIAGE} SELECT t.doc_id, decision, abstract_available, source, lang FROM triage t LEFT JOIN documents d ON t.doc_id = d.doc_id AND lang IS NOT NULL
+WHERE decision IN ('yes', 'maybe') AND abstract_available AND t.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"""
+ORACLES["signal_pending"] = f"SELECT doc_id, n_tagged_sentences FROM ({ORACLES['span_index']}) WHERE has_signal AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)"
+ORACLES["organism_pools"] = """SELECT d.doc_id, CASE WHEN d.doc_id % 7 = 0 THEN 'negative' WHEN toxic = 0 THEN 'table' ELSE 'other' END AS pool FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE coalesce(lang <> 'fr', true) AND d.doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)"""
+ORACLES["open_reviews"] = "SELECT doc_id, 'PMC' || doc_id AS pmcid, 'review_seed' AS processing_status FROM documents WHERE lang = 'de' AND n_chars > 500 AND source IS NOT NULL"
+ORACLES["verified_ratio"] = f"WITH {_ATTEMPTS} SELECT count(*) AS n_total, count(*) FILTER (outcome = 'unclear') AS n_unverified, count(*) FILTER (outcome <> 'unclear') AS n_verified FROM attempts"
+ORACLES["run_tally"] = """WITH f AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND user_id IS NOT NULL), k AS (SELECT DISTINCT user_id FROM events WHERE event_type <> 'error' AND user_id IS NOT NULL)
+SELECT count(*) AS n_papers, count(*) FILTER (user_id NOT IN (SELECT user_id FROM k)) AS n_new, count(*) FILTER (user_id IN (SELECT user_id FROM k)) AS n_enriched FROM f"""
+ORACLES["packet_index"] = f"""WITH {_TAGS}, cat AS (SELECT doc_id, {", ".join(f"least(12, count(*) FILTER (category = '{c}'))::INTEGER AS n_{c}" for c in shapes.LEXICON)} FROM firsts GROUP BY 1)
+SELECT doc_id, 7 AS n_sentences_total, 0 AS n_tagged_sentences, n_manipulation, n_success, n_failure, n_strain, 0 AS n_accessions, 1 AS n_strains,
+  n_manipulation > 0 AND (n_success > 0 OR n_failure > 0 OR n_strain > 0) AS has_signal FROM cat"""
+ORACLES["route_split"] = "SELECT o_orderkey AS n, 0 AS place, o_orderstatus AS discovery_route FROM orders UNION ALL SELECT o_orderkey, 1, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'"
+ORACLES["set_text"] = """SELECT user_id, '[' || string_agg(DISTINCT '"' || event_type || '"', ',' ORDER BY '"' || event_type || '"') || ']' AS sets, count(DISTINCT event_type)::INTEGER AS n FROM events GROUP BY 1"""
+ORACLES["repeated_keys"] = "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1"
+ORACLES["stable_sample"] = "SELECT doc_id, source FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 50"
+ORACLES["table_refs"] = """SELECT doc_id, 1 AS row_index, 'T1' AS table_label, '' AS table_caption, 'Genus sp x | see 12' AS row_text, 'Genus sp' AS organism_guess,
+  CASE k WHEN 1 THEN '10.5555/' || doc_id ELSE '' END AS cited_doi, '' AS cited_pmid, CASE k WHEN 1 THEN 'First' ELSE 'Book' END AS cited_title,
+  CASE k WHEN 1 THEN '1999' ELSE '' END AS cited_year, CASE k WHEN 1 THEN '' ELSE 'Book' END AS cited_source FROM documents, (VALUES (1), (2)) AS t(k) WHERE doc_id % 10 < 9"""
+ORACLES["jats_sections"] = rf"""WITH lines AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS line FROM (
+    SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '[<>&]|[^\t\n\r\x20-\x{{D7FF}}\x{{E000}}-\x{{FFFD}}\x{{10000}}-\x{{10FFFF}}]', ' ', 'g'), chr(10)) AS l FROM documents WHERE doc_id % 10 < 9)),
+flat AS (SELECT doc_id, i, trim(regexp_replace(line, '\s+', ' ', 'g')) AS t FROM lines),
+paras AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS paragraph FROM flat WHERE t <> ''),
+cut AS (SELECT doc_id, i, paragraph, list_filter(string_split(regexp_replace(t, '([.!?]) ([A-Z("''])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: trim(x) <> '') AS s FROM paras),
+snt AS (SELECT doc_id, i, paragraph, generate_subscripts(s, 1) AS k, unnest(s) AS sentence FROM cut)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY paragraph, k) - 1 AS INTEGER) AS pos, CASE WHEN i % 2 = 0 THEN 'Methods' ELSE 'Results' END AS section,
+  paragraph::INTEGER AS paragraph, sentence FROM snt"""
+_REPLY = """
+r AS (SELECT conv_id, turn, text, role, (turn + conv_id) % 6 AS kind,
+  concat_ws(', ', '"organism_name": ' || to_json(role), '"evidence_text": ' || to_json(text), '"outcome": "Success"') AS o FROM conversations)"""
+ORACLES["json_salvage"] = f"""WITH {_REPLY}
+SELECT conv_id, turn, CASE WHEN kind < 2 THEN '[' WHEN kind < 5 THEN '{{' END AS kind, (CASE WHEN kind < 3 THEN 2 WHEN kind = 4 THEN 1 ELSE 0 END)::INTEGER AS n_objects,
+  sha256(CASE WHEN kind < 3 THEN '{{' || o || '}}' || chr(10) || '{{' || o || '}}' WHEN kind = 4 THEN '{{' || o || '}}' ELSE '' END) AS objects_sha256 FROM r"""
+ORACLES["extract_stub"] = f"""WITH {_REPLY},
+each AS (SELECT conv_id || '-' || turn AS paper_id, role, trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t, unnest([1, 2]) AS i FROM r WHERE kind < 2 AND coalesce(role, '') <> '')
+SELECT paper_id || '-OBS0' || i AS observation_id, paper_id, role AS organism_name, '' AS strain_name, 'bacteria' AS organism_domain, 'unclear' AS wild_type_status, '' AS wild_type_evidence,
+  'other' AS manipulation_category, '' AS manipulation_detail, 'unclear' AS outcome, '' AS failure_reason, t AS evidence_text, 'abstract' AS section_name, '' AS genome_accession,
+  'not_checked' AS genome_match_status, 'unknown' AS marine_status, 'unknown' AS isolation_source, 'unknown' AS environment,
+  CASE WHEN t = '' THEN 'evidence_unverified ' ELSE '' END || 'manipulation_category_uncertain outcome_uncertain wild_type_uncertain' AS qc_flags, '' AS notes, 'automated' AS extraction_method, '' AS llm_model FROM each"""
+_BLANKS = ", ".join(f"'' AS {c}" for c in ("genus", "species", "strain", "technique_raw", "technique_normalized", "vector_or_construct", "plasmid_name", "delivery_method", "selection_method", "attempt_conditions_summary",
+  "outcome_detail", "failure_reason", "failure_reason_raw", "quantitative_efficiency", "quantitative_efficiency_unit", "evidence_method", "evidence_result"))
+ORACLES["attempts_stub"] = f"""WITH {_REPLY},
+each AS (SELECT conv_id || '-' || turn AS paper_id, role, unnest(range(1, CASE WHEN kind < 3 THEN 3 WHEN kind = 4 THEN 2 ELSE 1 END)) AS i FROM r WHERE coalesce(role, '') <> '')
+SELECT paper_id || '-ATT0' || i AS attempt_id, paper_id, role AS organism_name_raw, {_BLANKS}, 'unclear' AS wild_type_status, 'unclear' AS outcome, false AS needs_review FROM each"""

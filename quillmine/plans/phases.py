@@ -84,7 +84,7 @@ def extract(store: Store, inputs: Inputs, client: chat.Client, limit: int = 0) -
     part = lambda b: F.when(F.size(f"{b}_chunks") > 0, F.concat(F.lit(f"## {b}\n"), F.array_join(F.transform(f"{b}_chunks", lambda c: c["context"]), "\n")))
     said = F.array_join(F.flatten(F.array(*(F.transform(f"{b}_chunks", lambda c: c["context"]) for b in buckets))), " ")
     asked = queue.select("paper_id", F.concat_ws("\n\n", *map(part, buckets)).alias("prompt"), text.sentences(said).alias("sentences"), *(F.transform(f"{b}_chunks", lambda c: c["chunk_id"]).alias(f"{b}_chunk_ids") for b in buckets))
-    answered = chat.ask(asked, client, chat.EXTRACT_SYSTEM)
+    answered = chat.ask(asked, client, chat.attempt_system(vocabulary.ATTEMPT_OUTCOMES, vocabulary.ATTEMPT_WILD_TYPES, vocabulary.FAILURE_REASONS))
     folder = f"{store.folder}/replies"
     store.write("replies", answered, answered.schema)  # calls are dear: what follows reads what was answered
     replies = read_state(store.spark, folder, answered.schema).where("reply IS NOT NULL")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import ids, lexicon, markup, replies, scoring, text
-from ..operators import chat, evidence, graph, lineage, match, reports, resolve, sampling, spans, state
-from ..sources import responses
+from ..operators import chat, discovery, evidence, graph, lineage, match, reports, resolve, sampling, selection, spans, state
+from ..sources import paging, responses
 from ..streaming import ingest
 from . import shapes
 from .shapes import LEXICON, PATTERNS, PHRASES, table
@@ -134,32 +134,17 @@ def attempt_report(spark, sf_dir):
     return reports.attempt_report(shapes.attempts(spark, sf_dir), orders, "failure")
 
 
-@query
-def review_export(spark, sf_dir):
-    observed = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("observation_id"), F.col("o_custkey").alias("paper_id"), F.col("o_orderpriority").alias("outcome"))
-    matches = table(spark, sf_dir, "lineitem").where("l_linestatus = 'O' AND l_linenumber < 4").select(F.col("l_orderkey").alias("observation_id"), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("n"), F.col("l_returnflag").alias("genome_match_status"), F.concat(F.lit("GCF_"), "l_partkey").alias("genome_accession"))
-    papers = table(spark, sf_dir, "customer").where("c_custkey % 10 > 0").select(F.col("c_custkey").alias("paper_id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("doi"))
-    return reports.review_export(observed, matches, papers, "n", F.col("outcome").isin("1-URGENT", "2-HIGH"))
-
-
 @query
 def pending_anti(spark, sf_dir):
     return state.pending(_docs(spark, sf_dir).select("doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id", limit=100)
 
 
-@query
-def orphan_packets(spark, sf_dir):
-    packets, indexed = table(spark, sf_dir, "labels").select("doc_id", "quality"), _docs(spark, sf_dir).where("doc_id % 2 = 0")
-    return state.pending(packets, indexed, "doc_id")
-
-
 @query
 def cache_readiness(spark, sf_dir):
     url = F.concat(F.lit("https://host/"), F.col("doc_id").cast("string"))
     cache = table(spark, sf_dir, "labels").where("quality = 1").select(ids.url_key(url).alias("url_sha256"), F.lit("x").alias("body"))
     rows = responses.with_bodies(_docs(spark, sf_dir).select("doc_id", "text", url.alias("url")), cache)
-    full, abstract = F.col("body").isNotNull(), ids.text(F.col("text")) != ""
-    return rows.agg(F.count_if(full).alias("n_full"), F.count_if(~full & abstract).alias("n_abstract_only"), F.count_if(~full & ~abstract).alias("n_neither"))
+    return reports.readiness(rows, "body", "text")
 
 
 @query
@@ -190,12 +175,6 @@ def dedup_greedy(spark, sf_dir):
     return resolve.resolve_greedy(rows).withColumn("discovery_route", _bar("discovery_route"))
 
 
-@query
-def store_merge(spark, sf_dir):
-    docs = _docs(spark, sf_dir).select("doc_id", "source", "lang")
-    return resolve.append_new(docs.where("doc_id % 3 > 0"), docs.where("doc_id % 2 = 0").withColumn("source", F.lit("new")), "doc_id")
-
-
 def _event_papers(spark, sf_dir) -> DataFrame:
     url = F.get_json_object("props", "$.k")
     return table(spark, sf_dir, "events").select(F.col("user_id").alias("paper_id"), F.when(F.col("event_id") % 3 == 0, "").otherwise(url).alias("title"), F.array("event_type").alias("discovery_sources"), F.when(F.col("event_type") == "error", "discovered").when(F.col("event_type") == "signup", "extraction_complete").otherwise("metadata_fetched").alias("processing_status"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("first_seen_at"), "event_id")
@@ -224,12 +203,6 @@ def locked_merge(spark, sf_dir):
     return state.keyed_merge(docs, docs.where("doc_id % 5 = 0").withColumn("source", F.lit("updated")), table(spark, sf_dir, "labels").where("quality = 0").select("doc_id"), "doc_id")
 
 
-@query
-def attempt_replace(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return state.replace_children(li.where("l_linenumber < 5"), li.where("l_orderkey % 4 = 0 AND l_linenumber > 5"), "l_orderkey")
-
-
 @query
 def heal_placeholders(spark, sf_dir):
     rows = shapes.triage(spark, sf_dir).withColumnRenamed("doc_id", "paper_id")
@@ -331,19 +304,6 @@ def catalog_match(spark, sf_dir):
     return match.catalog_match(part.select(F.col("p_partkey").alias("observation_id"), name.alias("organism_name"), strain.alias("strain_name")), catalog)
 
 
-@query
-def citation_bfs(spark, sf_dir):
-    seeds = spark.range(5).select(F.col("id").alias("node"))
-    return graph.breadth_first(shapes.citation_edges(spark, sf_dir), seeds, 3)
-
-
-@query
-def seed_tagging(spark, sf_dir):
-    seeds = spark.range(50).select(F.col("id").alias("node"))
-    tagged = graph.tag_seeds(shapes.citation_edges(spark, sf_dir), seeds)
-    return tagged.select("node", _bar("seeds").alias("seeds"), _bar("labels").alias("labels"))
-
-
 def _article(spark, sf_dir) -> DataFrame:
     """Articles from documents: a section for each line, titles taking turns, a figure to be passed over, a table that cites two references, and a broken one now and then.
 
@@ -410,3 +370,166 @@ def incremental_ingest(spark, sf_dir):
 
     ingest.ingest(stream, f"{folder}/state", f"{folder}/checkpoint", schema, smallest)
     return ingest.read_state(spark, f"{folder}/state", schema).select("paper_id", _bar("discovery_sources").alias("discovery_sources"), "first_seen_at")
+
+
+@query
+def review_table(spark, sf_dir):
+    """The export over all orders (observations; the filter is the export's own), line items (matches) and customers (papers)."""
+    observed = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("observation_id"), F.col("o_custkey").alias("paper_id"), F.col("o_orderpriority").alias("outcome"))
+    matches = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("observation_id"), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("n"), F.col("l_returnflag").alias("genome_match_status"), F.concat(F.lit("GCF_"), "l_partkey").alias("genome_accession"))
+    papers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("paper_id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("doi"))
+    return reports.review_export(observed, matches, papers, "n", F.col("outcome").isin("1-URGENT", "2-HIGH"))
+
+
+@query
+def packet_orphans(spark, sf_dir):
+    return state.pending(_docs(spark, sf_dir).select("doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query
+def store_append(spark, sf_dir):
+    """Labelled documents are the store, all documents are appended to it."""
+    docs = _docs(spark, sf_dir).select("doc_id", "source", "lang")
+    present = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    return resolve.append_new(present, docs.withColumn("source", F.lit("new")), "doc_id")
+
+
+@query
+def attempts_replaced(spark, sf_dir):
+    """All line items; orders with a returned item get just these, numbered anew."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    new = li.where("l_returnflag = 'R'").withColumn("l_linenumber", F.col("l_linenumber") + 100)
+    return state.replace_children(li, new, "l_orderkey")
+
+
+@query
+def citation_reach(spark, sf_dir):
+    return graph.breadth_first(shapes.citation_links(spark, sf_dir), shapes.citation_seeds(spark, sf_dir), 3)
+
+
+@query
+def citation_tags(spark, sf_dir):
+    tagged = graph.tag_seeds(shapes.citation_links(spark, sf_dir), shapes.citation_seeds(spark, sf_dir))
+    return tagged.select("node", _bar("seeds").alias("seeds"), _bar("labels").alias("labels"))
+
+
+def _service(style: str):
+    """A stub of a paged service: query ``q<key>`` has a number of items that follows from its key."""
+
+    def answer(url: str) -> tuple[int, bytes | None]:
+        from urllib.parse import parse_qs, urlsplit
+
+        parts = urlsplit(url)
+        asked = {k: v[0] for k, v in parse_qs(parts.query).items()}
+        if style == "cursor":
+            key, start = int(asked["query"][1:]), 0 if asked["cursorMark"] == "*" else int(asked["cursorMark"])
+            page = [{"id": f"{key}-{i}"} for i in range(start, min(start + int(asked["pageSize"]), key % 250))]
+            return 200, json.dumps({"resultList": {"result": page}, "nextCursorMark": str(start + len(page))}).encode()
+        if style == "numbered":
+            key, start = int(parts.path.split("/")[-2][1:]), 100 * (int(asked["page"]) - 1)
+            return 200, json.dumps({"referenceList": {"reference": [{"id": f"{key}-{i}"} for i in range(start, min(start + 100, key * 7 % 900))]}}).encode()
+        key, start = int(asked["term"][1:]), int(asked["retstart"])
+        return 200, json.dumps({"esearchresult": {"idlist": [f"{key}-{i}" for i in range(start, min(start + int(asked["retmax"]), key * 13 % 900))]}}).encode()
+
+    return answer
+
+
+def _asked(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(F.concat(F.lit("q"), F.col("s_suppkey").cast("string")).alias("query"))
+
+
+@query
+def paged_search(spark, sf_dir):
+    found = paging.paged(_asked(spark, sf_dir), _service("cursor"), "https://host/api", "cursor", 120, pace=0.0, tasks=4)
+    return found.select("query", "place", F.get_json_object("item", "$.id").alias("id"))
+
+
+@query
+def paged_references(spark, sf_dir):
+    found = paging.paged(_asked(spark, sf_dir), _service("numbered"), "https://host/api", "numbered", paging.MOST_REFERENCES, pace=0.0, tasks=4)
+    return found.select("query", "place", F.get_json_object("item", "$.id").alias("id"))
+
+
+@query
+def paged_ids(spark, sf_dir):
+    return paging.paged(_asked(spark, sf_dir), _service("offset"), "https://host/api", "offset", paging.MOST_IDS, pace=0.0, tasks=4).withColumnRenamed("item", "id")
+
+
+@query
+def catalogue_summary(spark, sf_dir):
+    """A summary for each part: its type as organism, its name as strain."""
+    part, uid = table(spark, sf_dir, "part"), F.col("p_partkey").cast("string")
+    kinds = F.array(F.struct(F.lit("strain").alias("sub_type"), F.col("p_name").alias("sub_value")), F.struct(F.lit("country").alias("sub_type"), F.col("p_brand").alias("sub_value")))
+    one = F.struct(F.concat(F.lit("GCF_"), uid).alias("assemblyaccession"), F.col("p_type").alias("organism"), F.struct(kinds.alias("infraspecieslist")).alias("biosource"))
+    body = F.concat(F.lit('{"result": {"uids": ["'), uid, F.lit('"], "'), uid, F.lit('": '), F.to_json(one), F.lit("}}"))
+    return paging.catalogue(part.select(body.alias("body"))).drop("rank")
+
+
+@query
+def organism_list(spark, sf_dir):
+    observations = table(spark, sf_dir, "part").select(F.concat_ws("  ", "p_brand", "p_type", "p_name").alias("organism_name")).union(table(spark, sf_dir, "nation").select("n_name"))
+    return discovery.organism_names(observations, shapes.attempts(spark, sf_dir))
+
+
+@query
+def processable_triage(spark, sf_dir):
+    papers = _docs(spark, sf_dir).select("doc_id", "source", "lang").where(F.col("lang").isNotNull())
+    return selection.processable(shapes.triage(spark, sf_dir), papers, table(spark, sf_dir, "labels").where("toxic = 1"), "doc_id")
+
+
+@query
+def signal_pending(spark, sf_dir):
+    index = spans.span_index(_docs(spark, sf_dir), LEXICON, patterns={"email": PATTERNS["email"]})
+    return selection.with_signal(index, table(spark, sf_dir, "labels").where("quality = 0"), "doc_id").select("doc_id", "n_tagged_sentences")
+
+
+@query
+def organism_pools(spark, sf_dir):
+    papers = shapes.papers(spark, sf_dir).select(F.col("n").alias("doc_id"), "routes", (F.col("lang") == "fr").alias("is_review"))
+    labels = table(spark, sf_dir, "labels")
+    rows = labels.select(F.col("doc_id").alias("matched_candidate_paper_id"), F.when(F.col("toxic") == 0, "guess").otherwise("").alias("organism_guess"))
+    return selection.pools(papers, rows, labels.where("quality = 0"), "doc_id").select("doc_id", "pool")
+
+
+@query
+def open_reviews(spark, sf_dir):
+    rows = _docs(spark, sf_dir).select("doc_id", (F.col("lang") == "de").alias("is_review"), (F.col("n_chars") > 500).alias("full_text_available"), F.when(F.col("source").isNotNull(), F.concat(F.lit("PMC"), "doc_id")).alias("pmcid"))
+    return selection.open_reviews(rows).select("doc_id", "pmcid", selection.review_status(F.col("is_review")).alias("processing_status"))
+
+
+@query
+def verified_ratio(spark, sf_dir):
+    flagged = F.when(F.col("outcome") == "unclear", "strain_missing evidence_unverified").when(F.col("outcome") == "failure", "strain_missing")
+    return reports.verified_ratio(shapes.attempts(spark, sf_dir).select(flagged.alias("qc_flags")))
+
+
+@query
+def run_tally(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("paper_id"), "event_type").where("user_id IS NOT NULL")
+    return discovery.run_tally(rows.where("event_type = 'error'"), rows.where("event_type <> 'error'"))
+
+
+@query
+def packet_index(spark, sf_dir):
+    """Packets of the documents' spans, and the index rebuilt from them."""
+    found = spans.keyword_spans(_docs(spark, sf_dir), LEXICON).groupBy("doc_id", "category").agg(F.collect_list("sentence").alias("s"))
+    packets = found.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("category", "s"))).alias("spans_by_category"))
+    packets = packets.select("*", F.lit(None).cast("map<string,array<string>>").alias("regex_accessions"), F.array(F.lit("x")).alias("regex_strains"), F.lit(7).alias("n_sentences_total"), F.lit(None).cast("int").alias("n_tagged_sentences"))
+    return spans.index_of_packets(packets, list(LEXICON), "doc_id")
+
+
+@query
+def route_split(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n"), F.concat_ws("|", "o_orderstatus", F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority"))).alias("discovery_route"))
+    return resolve.split_routes(rows).select(F.col("n.n").alias("n"), F.col("n.place").alias("place"), "discovery_route")
+
+
+@query
+def set_text(spark, sf_dir):
+    sets = table(spark, sf_dir, "events").groupBy("user_id").agg(selection.set_text(F.collect_list("event_type")).alias("sets"))
+    return sets.select("user_id", "sets", F.size(selection.text_set(F.col("sets"))).alias("n"))
+
+
+@query
+def repeated_keys(spark, sf_dir):
+    return selection.repeated_keys(table(spark, sf_dir, "orders"), "o_custkey")

@@ -18,10 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt out if their file gives fewer partitions than there are cores (never so for a large table)."""
-    docs = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+    return table(spark, sf_dir, "documents")
 
 
 def title(text: str = "text"):
@@ -57,10 +54,17 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.element_at(F.array(*map(F.lit, BUCKETS)), F.col("pos") % 4 + 1).alias("bucket"), (F.col("pos") + 1).alias("paragraph"), "pos", "text")
 
 
-def citation_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 10 == 0)
-    label = F.when(F.col("o_orderstatus") == "F", "cited_by").otherwise("reference")
-    return orders.select((F.col("o_custkey") % 1000).alias("src"), ((F.col("o_orderkey") * 7 + 3) % 1000).alias("dst"), label.alias("label")).distinct()
+def citation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers (even nodes) cite the parts (odd nodes) of all their orders; parts are cited by them."""
+    bought = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    pairs = bought.select((F.col("o_custkey") * 2).alias("c"), (F.col("l_partkey") * 2 + 1).alias("p")).distinct()
+    ways = F.array(F.struct(F.col("c").alias("src"), F.col("p").alias("dst"), F.lit("reference").alias("label")), F.struct(F.col("p").alias("src"), F.col("c").alias("dst"), F.lit("cited_by").alias("label")))
+    return pairs.select(F.explode(ways).alias("e")).select("e.*")
+
+
+def citation_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of the largest balances."""
+    return table(spark, sf_dir, "customer").where("c_acctbal > 9900").select((F.col("c_custkey") * 2).alias("node"))
 
 
 def triage(spark: SparkSession, sf_dir: str) -> DataFrame:

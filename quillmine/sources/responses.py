@@ -145,7 +145,10 @@ def passages(documents: DataFrame, id_col: str = "paper_id", body_col: str = "bo
 
 
 def pages_of(ids_table: DataFrame, id_col: str, order_col: str, size: int = 200) -> DataFrame:
-    """``page, ids``: ids in pages of ``size`` for batched calls; the page number comes from a range partitioning, not from one task."""
+    """``page, ids``: ids in pages of at most ``size`` for batched calls, in 256 buckets by a hash of the id, in their order within a bucket.
+
+    No task numbers all ids; the price is one short page a bucket.
+    """
     hashed = ids_table.select(F.col(id_col).cast("string").alias("id"), F.col(order_col).alias("o"))
     counted = hashed.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(256)))
     from pyspark.sql import Window

@@ -61,6 +61,12 @@ def write_packets(df: DataFrame, path: str, key: str | None = None, mode: str =
     (out.partitionBy(key) if key else out).json(path)
 
 
+def write_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """All rows as one JSON array in one file (S8). For reports of bounded size: one task writes it."""
+    rows = df.agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
+    rows.select(F.to_json("rows")).coalesce(1).write.mode(mode).text(path)
+
+
 def read_packets(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON packets; unreadable ones are kept with their text in ``_corrupt`` (filter them, or report them)."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
