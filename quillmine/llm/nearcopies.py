@@ -82,8 +82,15 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
     return group
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that the sets of a whole batch are never held at once."""
     for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _sliced(batches):
         sets = [shingles(t.as_py()) for t in batch.column(2)]
         n = len(sets)
         same = np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), np.uint64, n).view(np.int64)
@@ -93,7 +100,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _sliced(batches):
         found = pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), found], ["same", "found"])
 
@@ -136,7 +143,7 @@ def _set_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _edges(np.array(names, np.int64), linked([cell[x] for x in names]))
 
     now, cell = None, {}
-    for batch in batches:
+    for batch in _sliced(batches):
         for *key, name, found in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
             if key != now:
                 if len(cell) > 1:
