@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, mixing, pii, quality, simhash, tokens, topk, toxicity, urlfilter
+from . import audit, decontaminate, hardneg, langid, mixing, pii, quality, simhash, tokens, topk, toxicity, urlfilter
 from .sampling import held_out
 
 
@@ -74,9 +74,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some labels are wrong on purpose: where vec_id is divisible by 7, the next of ten labels stands for the row's own."""
+    own = F.col("label").cast("long")
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 7 == 0, (own + 1) % 10).otherwise(own).alias("label"), topk.quantised(F.col("embedding"), 256).alias("v"))
+    return hardneg.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 QUERIES = {
     "op1_pii": op1_pii, "op2_langid": op2_langid, "op3_quality": op3_quality, "op4_urlfilter": op4_urlfilter, "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash, "op7_topk": op7_topk, "op8_tokens": op8_tokens, "op9_mixing": op9_mixing, "op10_decontaminate": op10_decontaminate,
+    "op11_audit": op11_audit, "op13_hardneg": op13_hardneg,
 }
 
 _UPPER, _LOWER = urlfilter._UPPER, urlfilter._LOWER
@@ -164,5 +176,50 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)
 """
 
+_OP11 = """
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), FALSE) AS later FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words FROM d),
+marks AS (SELECT doc_id AS id, max((quality IS NOT DISTINCT FROM 1)::INT) AS g, max((toxic IS NOT DISTINCT FROM 1)::INT) AS x FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+judged AS (
+  SELECT part, (len(words) < 50)::INT + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+      + 4 * (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * later::INT AS mask,
+    coalesce(g, 0) AS g, coalesce(x, 0) AS x
+  FROM w LEFT JOIN marks ON doc_id = id),
+cells AS (SELECT part, mask, count(*) AS n, sum(g) AS g, sum(x) AS x FROM judged GROUP BY part, mask),
+l(c, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT p.c || q.c || r.c || s.c || t.c AS o, [p.b, q.b, r.b, s.b, t.b] AS bits
+  FROM l p JOIN l q ON q.b <> p.b JOIN l r ON r.b NOT IN (p.b, q.b) JOIN l s ON s.b NOT IN (p.b, q.b, r.b) JOIN l t ON t.b NOT IN (p.b, q.b, r.b, s.b)),
+steps AS (SELECT o, k AS step, bits[k] AS b, coalesce(list_sum(bits[1 : k - 1]), 0)::INT AS before FROM orders, (SELECT unnest(range(1, 6)) AS k)),
+counted AS (
+  SELECT part, o, step, b, sum(n) FILTER (WHERE mask & (before + b) = 0) AS kept, sum(n) FILTER (WHERE mask & before = 0 AND mask & b > 0) AS removed,
+    sum(n) FILTER (WHERE mask & before > 0 AND mask & b > 0) AS redundant, sum(n) FILTER (WHERE mask = b) AS alone,
+    sum(g) FILTER (WHERE mask & before = 0 AND mask & b > 0) AS good, sum(x) FILTER (WHERE mask & before = 0 AND mask & b > 0) AS toxic
+  FROM cells, steps GROUP BY part, o, step, b)
+SELECT part, o AS filter_order, step::INTEGER AS step, o[step] AS filter, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(alone, 0)::BIGINT AS unique_fails, coalesce(good, 0)::BIGINT AS good_lost, coalesce(toxic, 0)::BIGINT AS toxic_lost,
+  (sum(coalesce(removed, 0)) OVER (PARTITION BY part, b))::BIGINT AS shapley
+FROM counted
+"""
+
+_OP13 = """
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, a.v AS anchor, a.label AS own, b.vec_id AS id, b.label AS label, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id, anchor, own ORDER BY score DESC, id) AS n FROM pairs WHERE label = own),
+ranked AS (
+  SELECT p.anchor_id, p.id AS positive_id, q.id AS negative_id, p.score AS positive_score, q.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.anchor, p.own, p.n ORDER BY q.score DESC, q.id) AS k
+  FROM positives p JOIN pairs q ON p.anchor_id = q.anchor_id AND p.anchor = q.anchor AND p.own = q.own AND q.label <> q.own
+  WHERE p.n <= 5 AND 30 * p.score <= 100 * q.score AND 100 * q.score <= 90 * p.score)
+SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE k <= 10
+"""
+
 #: The other operators are trained, or need hashes or tokenizers that DuckDB lacks; tests compare them with brute force.
-ORACLES = {"op4_urlfilter": _OP4, "op7_topk": _OP7, "op9_mixing": _OP9, "op10_decontaminate": _OP10}
+ORACLES = {"op4_urlfilter": _OP4, "op7_topk": _OP7, "op9_mixing": _OP9, "op10_decontaminate": _OP10, "op11_audit": _OP11, "op13_hardneg": _OP13}

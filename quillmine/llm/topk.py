@@ -213,9 +213,9 @@ class Search:
                 self._raise(np.array([r]), self.score[r, -1:])
 
 
-def quantised(embedding: Column) -> Column:
-    """floor(1024 * x) of every component; null if the vector is null or holds a null or non-finite component."""
-    whole = F.transform(embedding, lambda x: F.floor(x.cast("double") * 1024).cast("long"))
+def quantised(embedding: Column, scale: int = 1024) -> Column:
+    """floor(scale * x) of every component; null if the vector is null or holds a null or non-finite component."""
+    whole = F.transform(embedding, lambda x: F.floor(x.cast("double") * scale).cast("long"))
     bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     return F.when(embedding.isNotNull() & ~bad, whole)
 
