@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, decontaminate, hardneg, langid, mixing, pii, quality, simhash, tokens, topk, toxicity, urlfilter
+from . import audit, decontaminate, hardneg, langid, mixing, pii, quality, repeats, simhash, tokens, topk, toxicity, urlfilter
 from .sampling import held_out
 
 
@@ -78,6 +78,12 @@ def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some labels are wrong on purpose: where vec_id is divisible by 7, the next of ten labels stands for the row's own."""
     own = F.col("label").cast("long")
@@ -88,7 +94,7 @@ def op13_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii, "op2_langid": op2_langid, "op3_quality": op3_quality, "op4_urlfilter": op4_urlfilter, "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash, "op7_topk": op7_topk, "op8_tokens": op8_tokens, "op9_mixing": op9_mixing, "op10_decontaminate": op10_decontaminate,
-    "op11_audit": op11_audit, "op13_hardneg": op13_hardneg,
+    "op11_audit": op11_audit, "op12_repeats": op12_repeats, "op13_hardneg": op13_hardneg,
 }
 
 _UPPER, _LOWER = urlfilter._UPPER, urlfilter._LOWER
