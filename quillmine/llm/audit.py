@@ -113,11 +113,11 @@ def cells(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = judged.groupBy("id", "part", "mask", "h1", "h2").agg(F.count("*").alias("n"))
     marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id"))
     marks = marks.agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False)).cast("int")).alias("g"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False)).cast("int")).alias("t"))
-    # rows without an id have no label, and go by their text so that they are no hot key
-    named = rows.where("id IS NOT NULL").join(marks, F.col("id") == F.col("_id"), "left").select("id", "part", "mask", "h1", "h2", "n", F.coalesce("g", F.lit(0)).alias("g"), F.coalesce("t", F.lit(0)).alias("t"))
-    bare = rows.where("id IS NULL").select("id", "part", "mask", "h1", "h2", "n", F.lit(0).alias("g"), F.lit(0).alias("t"))
+    # rows without an id have no label, and are dealt by their text so that they are no hot key
+    marked = rows.withColumn("_key", F.coalesce("id", "h1")).join(marks, (F.col("_key") == F.col("_id")) & F.col("id").isNotNull(), "left")
+    marked = marked.select("id", "part", "mask", "h1", "h2", "n", F.coalesce("g", F.lit(0)).alias("g"), F.coalesce("t", F.lit(0)).alias("t"))
     first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "n")))
-    alike = named.union(bare).groupBy("h1", "h2", "part", "mask", "g", "t").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("id").isNull(), F.col("n")).otherwise(0)).alias("bare"), first.alias("first"))
+    alike = marked.groupBy("h1", "h2", "part", "mask", "g", "t").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("id").isNull(), F.col("n")).otherwise(0)).alias("bare"), first.alias("first"))
     least = F.min("first.id").over(Window.partitionBy("h1", "h2"))
     # of a text's rows those with the smallest id pass, and those without one
     fresh = F.col("bare") + F.when(F.col("first.id") == F.col("least"), F.col("first.n")).otherwise(0)
