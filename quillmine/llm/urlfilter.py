@@ -42,10 +42,29 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+#: One sign for each ending that goes, and how these signs are written where a path holds them itself.
+_ENDINGS = (("\x01", ".html"), ("\x02", ".htm"))
+_ESCAPED = (("\x03", "\x03c"), ("\x01", "\x03a"), ("\x02", "\x03b"))
+
+
+def trimmed(path_: Column) -> Column:
+    """The path without the ``.html``, ``.htm`` and slashes at its end, however many, in linear time.
+
+    A pattern with a repeated group would recurse for each repetition, so every ending becomes one sign and the signs are trimmed.
+    """
+    out = path_
+    for sign, written in (*_ESCAPED, *((ending, sign) for sign, ending in _ENDINGS)):
+        out = F.replace(out, F.lit(sign), F.lit(written))
+    out = F.rtrim(out, F.lit("/" + "".join(sign for sign, _ in _ENDINGS)))
+    for sign, written in (*_ENDINGS, *((written, sign) for sign, written in reversed(_ESCAPED))):
+        out = F.replace(out, F.lit(sign), F.lit(written))
+    return out
+
+
 def canonical(url: Column) -> Column:
     """One spelling for a page: no scheme, ``www.`` or ``m.``, query, fragment, ``.html`` or slashes at the end. Empty if no URL."""
     bare = F.regexp_replace(host(url), r"^(www|m)\.", "")
-    tail = F.regexp_replace(path(url), r"(\.html?|/)+$", "")
+    tail = trimmed(path(url))
     return F.when(host(url) == "", F.lit("")).otherwise(F.concat(bare, tail))
 
 
