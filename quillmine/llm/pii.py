@@ -5,7 +5,7 @@ other tokens are outside by definition, so they cut the chain and need no node.
 learned label-to-label potential. Distant tokens of a document that are equal, or whose digits are (six or more), are tied by a learned
 agreement potential to the first such token, so any two mentions are two links apart, however many lie between. Tokens inside a
 pattern's span are observed: their label is given, and it is what the links carry to the other mentions. Marginals come from loopy sum-product
-message passing over all documents of a batch at once, damped, until no message changes by more than TOLERANCE (at most ROUNDS rounds).
+message passing over all documents of a batch at once, damped; a document is done when none of its messages changes by more than TOLERANCE (or after ROUNDS rounds).
 
 Weights are fitted here by pseudo-likelihood, with the patterns' own spans as labels, on a bounded sample of texts. A node's features are
 its form (shape, length, check digit, its neighbours' shapes) and its context (the words around it). Patterns are
@@ -102,6 +102,17 @@ def _bucket(feature: str) -> int:
     return int.from_bytes(hashlib.blake2b(feature.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little") % BUCKETS
 
 
+def _first_overlaps(spans: list[tuple[int, int, int]], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each range the number of the first span that it overlaps, or -1; ``spans`` in order of their starts.
+
+    A span overlaps if it starts before the range's end and ends after its start. The first span that ends so late is the first at which
+    the largest end so far is so late, which is found by bisection.
+    """
+    begin, until = np.array([s for s, _, _ in spans], np.int64), np.maximum.accumulate(np.array([e for _, e, _ in spans], np.int64))
+    first = np.searchsorted(until, starts, side="right")
+    return np.where((first < len(spans)) & (begin[np.minimum(first, len(spans) - 1)] < ends), first, -1)
+
+
 class Graph:
     """Candidate tokens of many documents with their features and links."""
 
@@ -145,13 +156,15 @@ class Graph:
         return self._known[name]
 
     def labels(self, spans: list[list[tuple[int, int, int]]]) -> np.ndarray:
-        """For each token, 1 + the kind of a span that it overlaps, else 0."""
+        """For each token, 1 + the kind of the first span (by start, then kind) that it overlaps, else 0."""
         out = np.zeros(len(self.at), np.int64)
-        for i, (d, start, end) in enumerate(self.at):
-            for s, e, kind in spans[d]:
-                if s < end and start < e:
-                    out[i] = 1 + kind
-                    break
+        at = np.array(self.at, np.int64).reshape(-1, 3)
+        edge = np.searchsorted(at[:, 0], np.arange(len(spans) + 1))
+        for d, own in enumerate(spans):
+            lo, hi = edge[d], edge[d + 1]
+            if own and hi > lo:
+                first = _first_overlaps(own, at[lo:hi, 1], at[lo:hi, 2])
+                out[lo:hi] = np.where(first >= 0, np.array([k for _, _, k in own])[first] + 1, 0)
         return out
 
 
@@ -220,19 +233,23 @@ def marginals(graph: Graph, w: dict[str, np.ndarray], observed: np.ndarray | Non
     dst = np.concatenate([edges[:, 1], edges[:, 0]])
     back = np.r_[len(edges) : 2 * len(edges), 0 : len(edges)]
     message = np.zeros((2 * len(edges), k))
+    doc = np.array([d for d, _, _ in graph.at], np.int64)[src] if len(edges) else src
+    live = np.arange(2 * len(edges))  # messages of documents that have not settled yet
 
     def beliefs() -> np.ndarray:
         return node + np.stack([np.bincount(dst, message[:, j], len(node)) for j in range(k)], axis=1)
 
-    for _ in range(ROUNDS if len(edges) else 0):
-        out = (beliefs()[src] - message[back])[:, :, None] + both
+    for _ in range(ROUNDS):
+        if not len(live):
+            break
+        out = (beliefs()[src[live]] - message[back[live]])[:, :, None] + both[live]
         top = out.max(1)
         new = top + np.log(np.exp(out - top[:, None, :]).sum(1))
         new -= new.max(1, keepdims=True)
-        change = np.abs(new - message).max()
-        message = DAMPING * message + (1 - DAMPING) * new
-        if change <= TOLERANCE:
-            break
+        moved = np.abs(new - message[live]).max(1) > TOLERANCE
+        message[live] = DAMPING * message[live] + (1 - DAMPING) * new
+        # a document stops by itself, so its result does not depend on what else is in the batch
+        live = live[np.isin(doc[live], doc[live[moved]])]
     belief = beliefs()
     p = np.exp(belief - belief.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
@@ -258,8 +275,11 @@ def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], w: dic
         kind, digits = int(label[first]) - 1, _NOT_DIGIT.sub("", texts[d][start:end])
         if kind == 2 and 14 <= len(digits) <= 19 and not luhn(digits):
             continue  # of a card's length without its check digit: no card, as for the pattern
-        if not any(s < end and start < e for s, e, _ in base[d]):
-            out[d].append((start, end, kind))
+        out[d].append((start, end, kind))
+    for d, found in enumerate(out):
+        if found and base[d]:
+            starts, ends = (np.array([span[i] for span in found], np.int64) for i in (0, 1))
+            out[d] = [span for span, other in zip(found, _first_overlaps(base[d], starts, ends).tolist(), strict=True) if other < 0]
     return out
 
 
