@@ -316,6 +316,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     able = F.coalesce(F.octet_length("text"), F.lit(0)) >= length
     keyed = rows.where(able).select(F.xxhash64("id", "text").alias("k1"), F.xxhash64("text").alias("k2"), "id", "text")
     often = keyed.select("text").mapInArrow(_dealt(length, gram, False), "a long").groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a")
+    often = cut(often)  # so that a frequent anchor's pieces can be split in the join
     pieces = keyed.select("k1", "k2", "text").mapInArrow(_dealt(length, gram, True), "k1 long, k2 long, a long, p long, at long")
     shared = cut(pieces.join(often, "a"))
     unlike = shared.groupBy("a", "p").agg(F.count("*").alias("n"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("at").alias("at"))
