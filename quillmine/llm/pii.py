@@ -7,7 +7,8 @@ agreement potential to the first such token, so any two mentions are two links a
 pattern's span are observed: their label is given, and it is what the links carry to the other mentions. Marginals come from loopy sum-product
 message passing over all documents of a batch at once, damped; a document is done when none of its messages changes by more than TOLERANCE (or after ROUNDS rounds).
 
-Weights are fitted here by pseudo-likelihood, with the patterns' own spans as labels, on a bounded sample of texts. A node's features are
+Weights are fitted here by pseudo-likelihood, with the patterns' own spans as labels, on a bounded sample of texts of any length, whose tokens' labels and
+features the executors count out. A node's features are
 its form (shape, length, check digit, its neighbours' shapes) and its context (the words around it). Patterns are
 functions of the form, so a second copy of each token is learned from with its form hidden: only so do context and links get weights of
 their own, which find mentions that no pattern fits. Runs of tokens with one label, sure enough (MARGIN), become
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bounds on the distinct texts that the field is fitted on, picked by a hash, and on their bytes together.
-SAMPLE_ROWS, SAMPLE_BYTES = 3000, 1 << 26
+#: Bounds on the distinct texts that the field is fitted on, picked by a hash, and on the tokens of each that it learns from, at even steps.
+SAMPLE_ROWS, SAMPLE_TOKENS = 3000, 256
 #: Hashed features; the number after the last stands for a hidden one, without weight.
 BUCKETS = 1 << 12
 ROUNDS, TOLERANCE, DAMPING, MARGIN = 100, 1e-4, 0.3, 0.9
@@ -168,32 +169,55 @@ class Graph:
         return out
 
 
+_OTHERS = FORM + CONTEXT
+_EXAMPLE = 1 + _OTHERS + 2 + len(KINDS) + 1
+
+
+def examples(text: str, most: int = SAMPLE_TOKENS) -> np.ndarray:
+    """What pseudo-likelihood asks of a text's tokens, a row for each: label, features, labels left and right in the chain (or the number of labels), how many
+    tokens of each label it is tied to. Links and labels are those of the whole text; of more than ``most`` tokens as many come, at even steps."""
+    graph, k = Graph([text]), len(KINDS) + 1
+    n = len(graph.at)
+    out = np.full((n, _EXAMPLE), k, np.int32)
+    if not n:
+        return out
+    y = graph.labels([base_spans(text)])
+    out[:, 0], out[:, 1 : 1 + _OTHERS] = y, graph.features
+    chain, skip = (np.array(links, np.int64).reshape(-1, 2) for links in (graph.chain, graph.skip))
+    out[chain[:, 1], 1 + _OTHERS] = y[chain[:, 0]]
+    out[chain[:, 0], 2 + _OTHERS] = y[chain[:, 1]]
+    agree = np.zeros((n, k), np.int32)
+    np.add.at(agree, (skip[:, 0], y[skip[:, 1]]), 1)
+    np.add.at(agree, (skip[:, 1], y[skip[:, 0]]), 1)
+    out[:, 3 + _OTHERS :] = agree
+    return out if n <= most else out[(np.arange(most) * 2 + 1) * n // (2 * most)]
+
+
 def fit(texts: list[str], rounds: int = 600) -> dict[str, np.ndarray]:
+    return fit_examples(np.concatenate([np.zeros((0, _EXAMPLE), np.int32), *(examples(t) for t in texts)]), rounds)
+
+
+def fit_examples(rows: np.ndarray, rounds: int = 600) -> dict[str, np.ndarray]:
     """Weights by pseudo-likelihood: a token's label given its features (all of them, and its context alone) and its linked tokens' labels."""
-    graph, k = Graph(texts), len(KINDS) + 1
+    k = len(KINDS) + 1
     w = {"node": np.zeros((BUCKETS + 1, k)), "pair": np.zeros((k, k)), "skip": np.zeros(1)}
-    if not graph.at:
+    if not len(rows):
         w["node"][:BUCKETS, 0] = 1.0
         return w
-    y = graph.labels([base_spans(t) for t in texts])
-    whole = np.array(graph.features)
+    y, whole, left, right = rows[:, 0], rows[:, 1 : 1 + _OTHERS], rows[:, 1 + _OTHERS], rows[:, 2 + _OTHERS]
     hidden = whole.copy()
     hidden[:, :FORM] = BUCKETS
     x, n = np.concatenate([whole, hidden]), len(y)
-    chain = np.array(graph.chain, np.int64).reshape(-1, 2)
-    skip = np.array(graph.skip, np.int64).reshape(-1, 2)
-    agree = np.zeros((n, k))
-    np.add.at(agree, (skip[:, 0], y[skip[:, 1]]), 1)
-    np.add.at(agree, (skip[:, 1], y[skip[:, 0]]), 1)
+    agree = rows[:, 3 + _OTHERS :].astype(np.float64)
     agree, hot = np.concatenate([agree, agree]), np.eye(k)[np.concatenate([y, y])]
     sums = {name: np.zeros_like(v) for name, v in w.items()}
     for _ in range(rounds):
         score = agree * w["skip"]
         for column in x.T:
             score += w["node"][column]
-        for half in (0, n):
-            np.add.at(score, half + chain[:, 1], w["pair"][y[chain[:, 0]]])
-            np.add.at(score, half + chain[:, 0], w["pair"].T[y[chain[:, 1]]])
+        # a token without a neighbour takes the row of zeros
+        beside = np.concatenate([w["pair"], np.zeros((1, k))])[left] + np.concatenate([w["pair"].T, np.zeros((1, k))])[right]
+        score += np.concatenate([beside, beside])
         p = np.exp(score - score.max(1, keepdims=True))
         g = (hot - p / p.sum(1, keepdims=True)) / n
         node = np.zeros_like(w["node"])
@@ -201,9 +225,7 @@ def fit(texts: list[str], rounds: int = 600) -> dict[str, np.ndarray]:
             node += np.stack([np.bincount(column, g[:, j], BUCKETS + 1) for j in range(k)], axis=1)
         node[BUCKETS] = 0
         both = g[:n] + g[n:]
-        pair, back = np.zeros_like(w["pair"]), np.zeros_like(w["pair"])
-        np.add.at(pair, y[chain[:, 0]], both[chain[:, 1]])
-        np.add.at(back, y[chain[:, 1]], both[chain[:, 0]])
+        pair, back = (np.stack([np.bincount(side, both[:, j], k + 1)[:k] for j in range(k)], axis=1) for side in (left, right))
         grads = {"node": node, "pair": pair + back.T, "skip": np.array([(g * agree).sum()])}
         for name, grad in grads.items():
             grad = grad - 1e-5 * w[name]
@@ -297,20 +319,22 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def sample_texts(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> list[str]:
-    """At most ``rows`` distinct texts that hold a digit or an ``@``, of ``size`` bytes together: those of the smallest hashes, so alike in any partitioning."""
+def sample_examples(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS) -> np.ndarray:
+    """The :func:`examples` of at most ``rows`` distinct texts that hold a digit or an ``@``, of any length: those of the smallest hashes, so alike in any partitioning.
+
+    Texts stay on the executors, which send numbers of a bounded size.
+    """
     text = F.col(text_col)
     able = docs.select(text.alias("t"), F.xxhash64(text, F.lit(1)).alias("h")).where(text.rlike("[0-9@]"))
-    first = able.groupBy("h").agg(F.min(F.octet_length("t")).alias("n")).orderBy("h").limit(rows).collect()
-    kept, total = [], 0
-    for h, n in first:
-        if total + n <= size:
-            kept.append((h,))
-            total += n
-    if not kept:
-        return []
-    picked = F.broadcast(docs.sparkSession.createDataFrame(kept, "h long"))
-    return sorted(r.t for r in able.join(picked, "h").groupBy("h").agg(F.min("t").alias("t")).collect())
+    picked = F.broadcast(able.select("h").distinct().orderBy("h").limit(rows))  # so many rows at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for h, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([h]), pa.array([examples(t.as_py()).ravel()], pa.list_(pa.int32()))], ["h", "rows"])
+
+    got = able.join(picked, "h").groupBy("h").agg(F.min("t").alias("t")).mapInArrow(run, "h long, rows array<int>").orderBy("h").toArrow()
+    return np.concatenate([np.zeros((0, _EXAMPLE), np.int32), *(x.values.to_numpy().reshape(-1, _EXAMPLE) for x in got["rows"])])
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", weights: dict[str, np.ndarray] | None = None, redact: bool = False) -> DataFrame:
@@ -322,7 +346,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", weights: dict[str, np.ndar
     ``docs`` named base or spans are replaced.
     """
     docs = docs.drop("base", "spans")
-    weights = fit(sample_texts(docs, text_col)) if weights is None else weights
+    weights = fit_examples(sample_examples(docs, text_col)) if weights is None else weights
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     place = docs.columns.index(text_col)
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
