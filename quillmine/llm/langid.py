@@ -2,7 +2,7 @@
 
 Subwords are the 2-, 3- and 4-grams of the UTF-8 bytes of a text whose A-Z are lower-cased and whose other ASCII
 characters count as blanks. Each is hashed to one of BUCKETS embeddings; a text's mean embedding goes through a linear softmax. Both are
-trained by stochastic gradient descent in numpy on snippets of a bounded sample of labelled documents. A temperature,
+trained by stochastic gradient descent in numpy on the subword counts of a bounded sample of labelled documents, whole texts each. A temperature,
 fitted on documents that training left out, makes the probabilities honest; a prediction whose
 probability is below the smallest level that gave RELIABLE accuracy there is marked as rejected.
 """
@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbytes as tb
-from .sampling import by_class, held_out, short
+from .sampling import by_class, counted, held_out
 
 BUCKETS, DIM, SIZES = 1 << 15, 16, (2, 3, 4)
 #: Bounds on the texts of each language, and of all, that the model is fitted on; a quarter of them calibrates it. Every language has its share.
 SAMPLE_PER_LANGUAGE, SAMPLE_ROWS = 1500, 12_000
 RELIABLE = 0.99
-#: Bytes of a text that one training step looks at, at a place drawn anew each time; predictions read whole texts.
-_SNIPPET = 160
+#: Distinct subwords of a text that training keeps; of a text with more as many, in proportion to their counts. Predictions read all.
+KEPT = 2048
 _ASCII_LETTER = re.compile("[A-Za-z]")
 #: ASCII letters in lower case, other ASCII as a blank, all else as it is.
 _FOLDED = np.array([b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)], np.uint8)
@@ -75,43 +75,56 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return p / p.sum(1, keepdims=True)
 
 
+def subwords(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The buckets of each text's subwords and how often they occur, at most KEPT of them."""
+    out = []
+    for t in texts:
+        folded = _FOLDED[np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8)]
+        out.append(counted(np.concatenate([buckets(folded, size) for size in SIZES]), KEPT))
+    return out
+
+
+def _dense(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """A row of subword shares for each text."""
+    x = np.zeros((len(bags), BUCKETS), np.float32)
+    for row, (ids, counts) in zip(x, bags, strict=True):
+        row[ids] = counts / max(1, counts.sum())
+    return x
+
+
 def fit(texts: list[str], langs: list[str], steps: int = 700, seed: int = 0) -> dict:
+    return fit_bags(subwords(texts), langs, steps, seed)
+
+
+def fit_bags(bags: list[tuple[np.ndarray, np.ndarray]], langs: list[str], steps: int = 700, seed: int = 0) -> dict:
     """Train on three quarters of the texts, in the order given, and calibrate on the others."""
     names = sorted(set(langs))
     if not names:
         return {"names": [], "table": np.zeros((BUCKETS, 1), np.float32), "w": np.zeros((1, 1)), "b": np.zeros(1), "scale": 1.0, "reject": 1.0}
     rng = np.random.default_rng(seed)
-    y = np.array([names.index(x) for x in langs])
+    number = {n: i for i, n in enumerate(names)}
+    y = np.array([number[x] for x in langs])
     train = np.arange(len(y)) % 4 != 3
-    e, w, b = rng.normal(0, 0.05, (BUCKETS + 1, DIM)), np.zeros((DIM, len(names))), np.zeros(len(names))
-    e[BUCKETS] = 0  # stands for what a short snippet lacks
-    raw = [np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8) for t in texts]
-    usable = [i for i in np.flatnonzero(train) if len(raw[i]) >= min(SIZES)]
+    e, w, b = rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32), np.zeros((DIM, len(names))), np.zeros(len(names))
+    usable = [i for i in np.flatnonzero(train) if len(bags[i][0])]
     chance = 1 / np.bincount(y)[y[usable]] if usable else np.zeros(0)  # languages are drawn alike
     for step in range(steps if usable else 0):
         rate = 2.0 * (1 - step / steps)
         pick = rng.choice(usable, 32, p=chance / chance.sum())
-        ids = np.full((len(pick), len(SIZES) * _SNIPPET), BUCKETS)
-        for r, i in enumerate(pick):
-            size = int(rng.integers(12, _SNIPPET + 1))
-            start = int(rng.integers(0, max(1, len(raw[i]) - size + 1)))
-            folded = _FOLDED[raw[i][start : start + size]]
-            grams = np.concatenate([buckets(folded, s) for s in SIZES])
-            ids[r, : len(grams)] = grams
-        n = np.maximum((ids < BUCKETS).sum(1), 1)[:, None]
-        h = e[ids].sum(1) / n
+        x = _dense([bags[i] for i in pick])
+        h = x @ e
         g = _softmax(h @ w + b)
         g[np.arange(len(pick)), y[pick]] -= 1
         g /= len(pick)
-        back = (g @ w.T) / n
+        back = (g @ w.T).astype(np.float32)
         w -= rate * (h.T @ g)
         b -= 0.1 * rate * g.sum(0)
-        np.subtract.at(e, ids.ravel(), np.repeat(rate * 20 * back, ids.shape[1], axis=0))
-        e[BUCKETS] = 0
-    model = {"names": names, "table": e[:BUCKETS].astype(np.float32), "w": w, "b": b, "scale": 1.0, "reject": 0.0}
+        e -= np.float32(rate * 20) * (x.T @ back)
+    model = {"names": names, "table": e, "w": w, "b": b, "scale": 1.0, "reject": 0.0}
     rest = np.flatnonzero(~train)
     if len(rest):
-        z = mean_vectors(pa.array([texts[i] for i in rest], pa.string()), model["table"]) @ w + b
+        h = np.concatenate([_dense([bags[i] for i in rest[lo : lo + 256]]) @ e for lo in range(0, len(rest), 256)])
+        z = h @ w + b
         loss = [(-np.log(_softmax(z * s)[np.arange(len(rest)), y[rest]] + 1e-12).mean(), s) for s in 2.0 ** np.arange(-3, 2.1, 0.25)]
         model["scale"] = float(min(loss)[1])
         p = _softmax(z * model["scale"])
@@ -122,14 +135,26 @@ def fit(texts: list[str], langs: list[str], steps: int = 700, seed: int = 0) ->
     return model
 
 
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 200):
+            part = batch.slice(lo, 200)
+            found = subwords(part.column(2).to_pylist())
+            ids, counts = (pa.array([f[j].astype(np.int32) for f in found], pa.list_(pa.int32())) for j in (0, 1))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids, counts], ["l", "h", "ids", "counts"])
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
-    """Fit on ``per_language`` texts of each language at most, none of a held-out document, none without text or language."""
-    able = docs.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull() & ~held_out(F.col(id_col)) & short(F.col("t")))
+    """Fit on ``per_language`` texts of each language at most, none of a held-out document, none without text or language, of any length."""
+    able = docs.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull() & ~held_out(F.col(id_col)))
     hashed = able.withColumn("h", F.xxhash64("t"))
     picked = F.broadcast(by_class(hashed.select("l", "h"), "l", ["h"], per_language, SAMPLE_ROWS))  # SAMPLE_ROWS rows at most
-    rows = hashed.join(picked, ["l", "h"]).groupBy("l", "h").agg(F.min("t").alias("t")).collect()
-    rows = sorted(rows, key=lambda r: (r.h, r.l))
-    return fit([r.t for r in rows], [r.l for r in rows])
+    texts = hashed.join(picked, ["l", "h"]).groupBy("l", "h").agg(F.min("t").alias("t"))
+    got = texts.mapInArrow(_bags, "l string, h long, ids array<int>, counts array<int>").toArrow()
+    langs, hashes = got["l"].to_pylist(), got["h"].to_pylist()
+    bags = [(ids.values.to_numpy().astype(np.uint16), counts.values.to_numpy()) for ids, counts in zip(got["ids"], got["counts"], strict=True)]
+    order = sorted(range(len(langs)), key=lambda i: (hashes[i], langs[i]))
+    return fit_bags([bags[i] for i in order], [langs[i] for i in order])
 
 
 def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:

@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbytes as tb
-from .sampling import labelled
+from .sampling import counted, labelled
 
 WORD_BUCKETS, RANK, BINS = 1 << 16, 8, 16
 #: Bound on the labelled rows of each class that the model is fitted on.
 SAMPLE_PER_CLASS = 2500
 THRESHOLD = 0.3
-#: Words of a document that one training step looks at, drawn anew each time; scores read them all.
-_DRAWN = 128
+#: Distinct words of a document that training keeps; of one with more as many, in proportion to their counts. Scores read them all.
+KEPT = 2048
 
 _CLASSES = {
     "upper": tb.byte_table(bytes(range(65, 91))),
@@ -73,7 +73,8 @@ def _bins(stats: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return WORD_BUCKETS + np.arange(stats.shape[1]) * (BINS + 1) + found
 
 
-def fit(y: np.ndarray, stats: np.ndarray, words: list[np.ndarray], epochs: int = 12, seed: int = 0) -> dict[str, np.ndarray]:
+def fit(y: np.ndarray, stats: np.ndarray, words: list[tuple[np.ndarray, np.ndarray]], epochs: int = 12, seed: int = 0) -> dict[str, np.ndarray]:
+    """``words``: the buckets of each document's words and their counts."""
     size = WORD_BUCKETS + len(STATS) * (BINS + 1)
     edges = np.zeros((len(STATS), BINS))
     p = {"w": np.zeros(size), "v": np.zeros((size, RANK)), "b": np.zeros(1)}
@@ -90,18 +91,21 @@ def fit(y: np.ndarray, stats: np.ndarray, words: list[np.ndarray], epochs: int =
             order = rng.permutation(len(y))
             for lo in range(0, len(y), 256):
                 pick = order[lo : lo + 256]
-                drawn = [words[i] if len(words[i]) <= _DRAWN else words[i][rng.integers(0, len(words[i]), _DRAWN)] for i in pick]
-                n = np.array([len(x) for x in drawn])
-                ids = np.concatenate([np.concatenate(drawn), fixed[pick].ravel()])
+                own = [words[i] for i in pick]
+                n = np.array([len(ids) for ids, _ in own])
+                ids = np.concatenate([*(ids for ids, _ in own), fixed[pick].ravel()])
                 row = np.concatenate([np.repeat(np.arange(len(pick)), n), np.repeat(np.arange(len(pick)), len(STATS))])
-                x = np.concatenate([np.repeat(1 / np.maximum(n, 1), n), np.ones(len(pick) * len(STATS))])
+                x = np.concatenate([*(counts / max(1, counts.sum()) for _, counts in own), np.ones(len(pick) * len(STATS))])
                 vx = p["v"][ids] * x[:, None]
-                total = np.zeros((len(pick), RANK))
-                np.add.at(total, row, vx)
-                z = p["b"] + np.bincount(row, p["w"][ids] * x, len(pick)) + 0.5 * ((total**2).sum(1) - np.bincount(row, (vx**2).sum(1), len(pick)))
+                total = np.stack([np.bincount(row, vx[:, j], len(pick)) for j in range(RANK)], axis=1)
+                # an occurrence is a feature of its own, so a word that occurs twice meets itself once
+                square = np.concatenate([*((counts / max(1, counts.sum()) ** 2) for _, counts in own), np.ones(len(pick) * len(STATS))])
+                vv = p["v"][ids] * square[:, None]
+                z = p["b"] + np.bincount(row, p["w"][ids] * x, len(pick)) + 0.5 * ((total**2).sum(1) - np.bincount(row, (p["v"][ids] * vv).sum(1), len(pick)))
                 g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[pick]) / len(pick)
-                grads = {"b": np.array([g.sum()]), "w": np.bincount(ids, g[row] * x, size) + 1e-5 * p["w"], "v": 1e-5 * p["v"]}
-                np.add.at(grads["v"], ids, (g[row] * x)[:, None] * (total[row] - vx))
+                back = g[row][:, None] * (x[:, None] * total[row] - vv)
+                pulls = np.stack([np.bincount(ids, back[:, j], size) for j in range(RANK)], axis=1)
+                grads = {"b": np.array([g.sum()]), "w": np.bincount(ids, g[row] * x, size) + 1e-5 * p["w"], "v": pulls + 1e-5 * p["v"]}
                 step += 1
                 for k, grad in grads.items():
                     first[k] = 0.9 * first[k] + 0.1 * grad
@@ -111,7 +115,7 @@ def fit(y: np.ndarray, stats: np.ndarray, words: list[np.ndarray], epochs: int =
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", per_class: int = SAMPLE_PER_CLASS) -> dict[str, np.ndarray]:
-    """Fit on ``per_class`` documents of each class at most, none of them held out."""
+    """Fit on ``per_class`` documents of each class at most, none of them held out, of any length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,15 +123,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for lo, hi, part, rows, hashed in features(batch.column(1), _lengths(batch.column(2))):
                 stats += list(part)
                 at = np.searchsorted(rows, np.arange(hi - lo + 1))
-                words += [hashed[a:b].astype(np.int32) for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stats, pa.list_(pa.float64())), pa.array(words, pa.list_(pa.int32()))], ["y", "stats", "words"])
+                words += [counted(hashed[a:b], KEPT) for a, b in zip(at[:-1], at[1:], strict=True)]
+            ids, counts = (pa.array([w[j].astype(np.int32) for w in words], pa.list_(pa.int32())) for j in (0, 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stats, pa.list_(pa.float64())), ids, counts], ["y", "stats", "ids", "counts"])
 
     base = docs.select(F.col(id_col), F.col(text_col), _chars(docs, chars_col))
     rows = labelled(base, labels.withColumnRenamed("doc_id", id_col), "quality", per_class, id_col, text_col)
-    got = rows.select(F.col("_y").alias("y"), F.col(text_col), "_chars").mapInArrow(run, "y int, stats array<double>, words array<int>").toArrow()
+    got = rows.select(F.col("_y").alias("y"), F.col(text_col), "_chars").mapInArrow(run, "y int, stats array<double>, ids array<int>, counts array<int>").toArrow()
     y = np.array(got["y"].to_pylist(), np.float64)
     stats = np.array(got["stats"].to_pylist(), np.float64).reshape(-1, len(STATS))
-    words = [np.array(x.values) for column in got["words"].chunks for x in column]
+    words = [(ids.values.to_numpy(), counts.values.to_numpy()) for ids, counts in zip(got["ids"], got["counts"], strict=True)]
     order = np.lexsort([*stats.T, y]) if len(y) else []
     return fit(y[order] if len(y) else y, stats[order] if len(y) else stats, [words[i] for i in order])
 

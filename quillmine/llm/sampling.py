@@ -1,21 +1,29 @@
-"""Bounded samples of rows to fit classifiers on: so many rows exactly, of bounded texts, alike in any partitioning."""
+"""Bounded samples of rows to fit classifiers on: so many rows exactly, of any length, alike in any partitioning.
+
+What crosses to the driver are features of whole texts, counted on the executors. A text with more distinct features than a model takes is thinned
+there to a fixed number of them, in proportion to their counts, so a long text weighs no more than others and none is left out for its length.
+"""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Longer texts (in bytes) are not learned from; with the bounds on rows this bounds what a sample weighs.
-TEXT_BYTES = 1 << 15
-
 
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text modulo 5 is 0. A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def short(text: Column) -> Column:
-    return F.coalesce(F.octet_length(text), F.lit(0)) <= TEXT_BYTES
+def counted(features: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct features, ascending; their counts): all of them, or of more than ``most`` those that ``most`` even steps through the occurrences meet."""
+    values, counts = np.unique(features, return_counts=True)
+    if len(values) > most:
+        ends = np.cumsum(counts)
+        steps = (np.arange(most) * 2 + 1) * ends[-1] // (2 * most)
+        values, counts = np.unique(values[np.searchsorted(ends, steps, side="right")], return_counts=True)
+    return values, counts
 
 
 def by_class(rows: DataFrame, label: str, key: list[str], per_class: int, total: int) -> DataFrame:
@@ -37,5 +45,5 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_
     """
     known = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id")))
     picked = by_class(known.groupBy("_id").agg(F.max("_y").alias("_y")), "_y", ["_id"], per_class, 2 * per_class)
-    rows = docs.where(short(F.col(text_col))).join(F.broadcast(picked), docs[id_col] == picked["_id"])  # 2 * per_class ids at most
+    rows = docs.join(F.broadcast(picked), docs[id_col] == picked["_id"])  # 2 * per_class ids at most
     return rows.groupBy("_id").agg(F.min(F.struct(F.xxhash64(text_col).alias("_h"), "_y", *docs.columns)).alias("_r")).select("_r._y", *(f"_r.{c}" for c in docs.columns))

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quillmine.llm import langid, quality, sampling, toxicity
+from quillmine.llm import langid, pii, quality, sampling, toxicity
 
 
 def test_every_label_has_rows(spark):
@@ -21,7 +21,7 @@ def test_every_label_has_rows(spark):
 
 def test_rows_of_one_id_do_not_all_come(spark):
     docs = spark.range(4000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("x").alias("score"))
-    docs = docs.union(spark.createDataFrame([(2, "y" * (sampling.TEXT_BYTES + 1), "x"), (4, None, None)], "doc_id long, text string, score string"))
+    docs = docs.union(spark.createDataFrame([(2, "y" * 100_000, "x"), (4, None, None)], "doc_id long, text string, score string"))
     labels = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
     got = sampling.labelled(docs, labels, "toxic", 50).collect()
     assert len(got) <= 100 and len({r.doc_id for r in got}) == len(got)
@@ -96,3 +96,61 @@ def test_quality_features_against_plain_python():
         assert stats[0][quality.STATS.index(name)] == pytest.approx(value), name
     low = [w.lower() for w in split]  # equal words have equal buckets
     assert len(words) == len(low) and all((words[i] == words[j]) == (low[i] == low[j]) for i in range(len(low)) for j in range(i))
+
+
+def test_counted():
+    rng = np.random.default_rng(1)
+    found = rng.integers(0, 50, 1000)
+    values, counts = sampling.counted(found, 50)
+    assert (values == np.unique(found)).all() and counts.sum() == 1000
+    values, counts = sampling.counted(np.r_[np.zeros(5000, int), np.arange(1, 5001)], 100)
+    assert counts.sum() == 100 and len(values) == 51 and counts[0] == 50 and set(np.diff(values[1:])) == {100}
+    assert [len(x) for x in sampling.counted(np.zeros(0, int), 10)] == [0, 0]
+
+
+def long_text(words, n=9000):
+    return " ".join(words[i % len(words)] + words[(i * 7 + i // 5) % len(words)] for i in range(n))
+
+
+def test_learning_from_texts_that_are_all_long(spark):
+    """No length keeps a text from being learned from: one language, one class, is in texts of over 64 KB alone."""
+    rows = [(i, long_text(["ab", "ele", "mo", "ti", "ran"][i % 3 :] + ["sun"]) if i % 2 else f"der hund {i} und die katze laufen im garten {i * 7}", ["de", "it"][i % 2]) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(t) for i, t, _ in rows if i % 2) > 1 << 15
+    model = langid.train(docs)
+    assert model["names"] == ["de", "it"]
+    assert [r.lang_pred for r in langid.identify(spark.createDataFrame([("abele moti ranele suntimo",), ("die katze und der hund",)], "text string"), model).collect()] == ["it", "de"]
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality", "CAST(doc_id % 2 AS INT) AS toxic")
+    scored = quality.score(docs, quality.train(docs, labels)).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in scored)
+    graded = toxicity.grade(docs, toxicity.train(docs, labels)).collect()
+    assert all(r.toxic == bool(r.doc_id % 2) for r in graded)
+
+
+def test_a_bound_on_features_is_exact(spark):
+    counts = spark.createDataFrame([(i, 5 + i % 40, i % 3) for i in range(500)], "feature long, t long, c long")
+    every = toxicity.tied(counts, 900, 1100).collect()
+
+    def gain(t, c):
+        expected = (t + c) * 900 / 2000
+        return 2 * (t * np.log(t / expected) + (c * np.log(c / (t + c - expected)) if c else 0)) if t > expected else 0
+
+    want = {i: gain(5 + i % 40, i % 3) for i in range(500)}
+    assert {r.feature for r in every} == {i for i, g in want.items() if g >= toxicity.EVIDENCE}
+    best = sorted((i for i, g in want.items() if g >= toxicity.EVIDENCE), key=lambda i: (-round(want[i], 9), i))[:37]
+    assert {r.feature for r in toxicity.tied(counts, 900, 1100, 37).collect()} == set(best)
+
+
+def test_examples_are_those_of_the_whole_text(spark):
+    text = " ".join(f"call +1 555 {i % 7:03} 4567 or mail a{i}@b.co id 77{i % 5}123" for i in range(300))
+    whole, some = pii.examples(text, 1 << 30), pii.examples(text, 64)
+    assert len(some) == 64 < len(whole) and all((whole == row).all(1).any() for row in some)
+    graph = pii.Graph([text])
+    y = graph.labels([pii.base_spans(text)])
+    assert (whole[:, 0] == y).all() and whole[:, -5:].sum() == 2 * len(graph.skip)
+    left = {b: y[a] for a, b in graph.chain}
+    assert [left.get(i, 5) for i in range(len(y))] == whole[:, 1 + pii._OTHERS].tolist()
+    docs = spark.createDataFrame([(text,), (text,), ("no sign",), (None,), ("7",)], "text string")
+    got = pii.sample_examples(docs)
+    assert len(got) == pii.SAMPLE_TOKENS + 1 and len(pii.sample_examples(docs, rows=1)) in (1, pii.SAMPLE_TOKENS)
+    assert (pii.sample_examples(docs.repartition(3)) == got).all()
