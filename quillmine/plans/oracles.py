@@ -171,8 +171,11 @@ ORACLES["citation_reach"] = f"""WITH RECURSIVE {_LINKS}, walk(node, hop) AS (SEL
 SELECT node, min(hop)::INTEGER AS hop FROM walk GROUP BY 1"""
 ORACLES["citation_tags"] = f"""WITH {_LINKS} SELECT dst AS node, string_agg(DISTINCT src::VARCHAR, '|' ORDER BY src::VARCHAR) AS seeds, string_agg(DISTINCT label, '|' ORDER BY label) AS labels
 FROM edges JOIN seeds ON src = node GROUP BY 1"""
-for _name, _n in (("search", "least(s_suppkey % 250, 120)"), ("references", "least(s_suppkey * 7 % 900, 600)"), ("ids", "least(s_suppkey * 13 % 900, 500)")):
-    ORACLES[f"paged_{_name}"] = f"SELECT 'q' || s_suppkey AS query, i::INTEGER AS place, s_suppkey || '-' || i AS id FROM supplier, unnest(range({_n})) AS t(i)"
+for _name, _n in (("search", 260), ("reference", 600), ("id", 500)):
+    ORACLES[f"{_name}_crawl"] = f"""SELECT source, (n - 1)::INTEGER AS place, doc_id::VARCHAR AS id
+FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents WHERE source IS NOT NULL) WHERE n <= {_n}"""
+ORACLES["id_pages"] = """SELECT page::BIGINT AS page, count(*)::INTEGER AS n, min(doc_id) AS first, md5(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS ids_md5
+FROM (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 200 AS page FROM documents) GROUP BY page"""
 ORACLES["catalogue_summary"] = "SELECT p_partkey::VARCHAR AS uid, 'GCF_' || p_partkey AS accession, p_type AS organism, p_type || ' ' || p_name AS match_text FROM part"
 ORACLES["organism_list"] = """WITH o AS (SELECT regexp_replace(concat_ws('  ', p_brand, p_type, p_name), '\\s+', ' ', 'g') AS x FROM part UNION ALL SELECT n_name FROM nation)
 SELECT x AS organism FROM o WHERE len(string_split(x, ' ')) <= 4 UNION SELECT p_brand FROM part JOIN lineitem ON p_partkey = l_partkey"""

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import ids, lexicon, markup, replies, scoring, text
-from ..operators import chat, discovery, evidence, graph, lineage, match, reports, resolve, sampling, selection, spans, state
-from ..sources import paging, responses
+from ..operators import chat, discovery, evidence, graph, lineage, match, positions, reports, resolve, sampling, selection, spans, state
+from ..sources import crawl, paging, responses
 from ..streaming import ingest
 from . import shapes
 from .shapes import LEXICON, PATTERNS, PHRASES, table
@@ -413,46 +413,36 @@ def citation_tags(spark, sf_dir):
     return tagged.select("node", _bar("seeds").alias("seeds"), _bar("labels").alias("labels"))
 
 
-def _service(style: str):
-    """A stub of a paged service: query ``q<key>`` has a number of items that follows from its key."""
-
-    def answer(url: str) -> tuple[int, bytes | None]:
-        from urllib.parse import parse_qs, urlsplit
-
-        parts = urlsplit(url)
-        asked = {k: v[0] for k, v in parse_qs(parts.query).items()}
-        if style == "cursor":
-            key, start = int(asked["query"][1:]), 0 if asked["cursorMark"] == "*" else int(asked["cursorMark"])
-            page = [{"id": f"{key}-{i}"} for i in range(start, min(start + int(asked["pageSize"]), key % 250))]
-            return 200, json.dumps({"resultList": {"result": page}, "nextCursorMark": str(start + len(page))}).encode()
-        if style == "numbered":
-            key, start = int(parts.path.split("/")[-2][1:]), 100 * (int(asked["page"]) - 1)
-            return 200, json.dumps({"referenceList": {"reference": [{"id": f"{key}-{i}"} for i in range(start, min(start + 100, key * 7 % 900))]}}).encode()
-        key, start = int(asked["term"][1:]), int(asked["retstart"])
-        return 200, json.dumps({"esearchresult": {"idlist": [f"{key}-{i}" for i in range(start, min(start + int(asked["retmax"]), key * 13 % 900))]}}).encode()
-
-    return answer
+def _crawled(spark, sf_dir, style: str, most: int, item) -> DataFrame:
+    """A crawl of every source over the recorded answers of a service that lists its documents by id."""
+    lineage.use_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/crawl-{uuid.uuid4().hex}"
+    docs = _docs(spark, sf_dir).select("source", "doc_id", F.col("doc_id").cast("string").alias("id"))
+    pages = lineage.cut(crawl.record_pages(docs, style, "https://host/api", most, "source", "id", ["doc_id"]))
+    found = crawl.crawl(spark, folder, docs, crawl.recorded(pages), style, "https://host/api", most, "source")
+    return found.select(F.col("query").alias("source"), "place", item.alias("id"))
 
 
-def _asked(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(F.concat(F.lit("q"), F.col("s_suppkey").cast("string")).alias("query"))
+@query
+def search_crawl(spark, sf_dir):
+    return _crawled(spark, sf_dir, "cursor", 260, F.get_json_object("item", "$.id"))
 
 
 @query
-def paged_search(spark, sf_dir):
-    found = paging.paged(_asked(spark, sf_dir), _service("cursor"), "https://host/api", "cursor", 120, pace=0.0, tasks=4)
-    return found.select("query", "place", F.get_json_object("item", "$.id").alias("id"))
+def reference_crawl(spark, sf_dir):
+    return _crawled(spark, sf_dir, "numbered", paging.MOST_REFERENCES, F.get_json_object("item", "$.id"))
 
 
 @query
-def paged_references(spark, sf_dir):
-    found = paging.paged(_asked(spark, sf_dir), _service("numbered"), "https://host/api", "numbered", paging.MOST_REFERENCES, pace=0.0, tasks=4)
-    return found.select("query", "place", F.get_json_object("item", "$.id").alias("id"))
+def id_crawl(spark, sf_dir):
+    return _crawled(spark, sf_dir, "offset", paging.MOST_IDS, F.col("item"))
 
 
 @query
-def paged_ids(spark, sf_dir):
-    return paging.paged(_asked(spark, sf_dir), _service("offset"), "https://host/api", "offset", paging.MOST_IDS, pace=0.0, tasks=4).withColumnRenamed("item", "id")
+def id_pages(spark, sf_dir):
+    """Calls of 200 ids each, in the order of the ids."""
+    found = positions.pages(_docs(spark, sf_dir).select("doc_id"), "doc_id", 200, ["doc_id"])
+    return found.select("page", F.size("values").alias("n"), F.element_at("values", 1).alias("first"), F.md5(F.array_join("values", ",")).alias("ids_md5"))
 
 
 @query
