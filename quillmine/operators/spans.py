@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, lexicon, scoring, text
 from ..functions.lexicon import Lexicon
+from . import tagging
 
 #: Spans kept for each document and category.
 MAX_PER_CATEGORY = 12
@@ -25,14 +26,10 @@ def tagged(found: DataFrame, words: Lexicon) -> DataFrame:
 def keyword_spans(docs: DataFrame, words: Lexicon, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_PER_CATEGORY) -> DataFrame:
     """``id, category, rank, pos, sentence, terms``: the first ``most`` tagged sentences of each category, repeats (by lower case) left out.
 
-    Everything happens within a document, so nothing is shuffled: sentences are tagged in an array, and a repeat is one whose folded form
-    stands earlier in it. Equal folded sentences have equal tags, so leaving repeats out before or after the category is chosen is the same.
+    Everything happens within a document, so nothing is shuffled. Equal folded sentences have equal tags, so leaving repeats out before or
+    after the category is chosen is the same.
     """
-    tags = lambda s: lexicon.tag(s, words)
-    cells = F.transform(text.sentences(F.col(text_col)), lambda s, i: F.struct(i.alias("pos"), s.alias("sentence"), F.lower(F.trim(s)).alias("key"), tags(s).alias("tags")))
-    hit = docs.select(F.col(id_col), F.filter(cells, lambda c: F.size(c["tags"]) > 0).alias("hit"))
-    keys = hit.withColumn("keys", F.transform("hit", lambda c: c["key"]))
-    first = keys.select(id_col, F.filter("hit", lambda c, i: F.array_position(F.col("keys"), c["key"]) == i + 1).alias("hit"))
+    first = tagging.tagged_documents(docs, words, id_col, text_col).select(id_col, F.filter("hit", lambda h: h["fresh"]).alias("hit"))
     by_category = F.array(*(F.struct(F.lit(c).alias("category"), F.slice(_having(c), 1, most).alias("spans")) for c in words))
     rows = first.select(id_col, F.explode(by_category).alias("c")).select(id_col, "c.category", F.posexplode("c.spans").alias("n", "s"))
     return rows.select(id_col, "category", (F.col("n") + 1).alias("rank"), F.col("s.pos").alias("pos"), F.col("s.sentence").alias("sentence"), F.col("s.tags")[F.col("category")].alias("terms"))
@@ -43,12 +40,13 @@ def _having(category: str) -> Column:
 
 
 def span_index(docs: DataFrame, words: Lexicon, id_col: str = "doc_id", text_col: str = "text", patterns: dict[str, str] | None = None) -> DataFrame:
-    """``id, n_sentences_total, n_tagged_sentences, n_<category>..., n_accessions, has_signal`` for every document, without a shuffle."""
-    cells = F.transform(text.sentences(F.col(text_col)), lambda s: F.struct(F.lower(F.trim(s)).alias("key"), lexicon.tag(s, words).alias("tags")))
-    every = docs.select(F.col(id_col), F.col(text_col), cells.alias("cells")).withColumn("hit", F.filter("cells", lambda c: F.size(c["tags"]) > 0))
-    counts = {f"n_{c}": F.least(F.lit(MAX_PER_CATEGORY), F.size(F.array_distinct(F.transform(_having(c), lambda s: s["key"])))) for c in words}
-    number = F.aggregate(F.map_values(ids.accessions(F.array_join(text.sentences(F.col(text_col)), " "), patterns or {"none": "(?!)"})), F.lit(0), lambda a, x: a + F.size(x))
-    rows = every.select(id_col, F.size("cells").alias("n_sentences_total"), F.size("hit").alias("n_tagged_sentences"), *(v.alias(k) for k, v in counts.items()), number.alias("n_accessions"))
+    """``id, n_sentences_total, n_tagged_sentences, n_<category>..., n_accessions, has_signal`` for every document, without a shuffle; sentences are tagged once."""
+    accessions = ids.accessions(F.array_join("sentences", " "), patterns or {"none": "(?!)"})
+    number = F.aggregate(F.map_values(accessions), F.lit(0), lambda a, x: a + F.size(x))
+    every = tagging.tagged_documents(docs, words, id_col, text_col, n_accessions=number)
+    fresh = lambda c: F.size(F.filter("hit", lambda h: h["fresh"] & F.map_contains_key(h["tags"], c)))
+    counts = {f"n_{c}": F.least(F.lit(MAX_PER_CATEGORY), fresh(c)) for c in words}
+    rows = every.select(id_col, F.col("n_sentences").alias("n_sentences_total"), F.size("hit").alias("n_tagged_sentences"), *(v.alias(k) for k, v in counts.items()), "n_accessions")
     zero = F.lit(0)
     n = lambda c: F.col(f"n_{c}") if c in words else zero
     return rows.withColumn("has_signal", (n("manipulation") > 0) & ((n("success") > 0) | (n("failure") > 0) | (n("strain") > 0)))

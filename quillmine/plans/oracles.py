@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..functions import vocabulary
 from . import shapes
 
 ORACLES: dict[str, str] = {}
@@ -54,6 +55,9 @@ _PASSAGE_POINTS = f"CASE WHEN bucket = 'OTHER' THEN 0 ELSE CASE WHEN {_any('text
 
 ORACLES["sentence_split"] = f"WITH {_SENTENCES} SELECT doc_id, pos::INTEGER AS pos, sentence FROM snt"
 ORACLES["keyword_spans"] = f"WITH {_TAGS} SELECT doc_id, category, rank, pos::INTEGER AS pos, sentence, terms FROM ranked WHERE rank <= 12"
+_TERMS = ", ".join("('{}', '{}', {})".format(c, t.replace("'", "''"), i) for i, (c, t) in enumerate((c, t) for c, terms in vocabulary.SENTENCE_LEXICON.items() for t in terms))
+ORACLES["lexicon_tags"] = f"""WITH {_SENTENCES}, lex(category, term, i) AS (VALUES {_TERMS})
+SELECT doc_id, pos::INTEGER AS pos, category, string_agg(term, '|' ORDER BY i) AS terms FROM snt JOIN lex ON contains(lower(sentence), rtrim(lower(term), '*')) GROUP BY doc_id, pos, category"""
 ORACLES["span_index"] = rf"""WITH {_TAGS},
 per AS (SELECT doc_id, count(DISTINCT pos) AS tagged FROM tags GROUP BY 1),
 cat AS (SELECT doc_id, {", ".join(f"least(12, count(*) FILTER (category = '{c}')) AS n_{c}" for c in shapes.LEXICON)} FROM firsts GROUP BY 1)

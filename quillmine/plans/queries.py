@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import ids, lexicon, markup, replies, scoring, text
-from ..operators import chat, discovery, evidence, graph, lineage, match, positions, reports, resolve, sampling, selection, spans, state
+from ..functions import ids, lexicon, markup, replies, scoring, text, vocabulary
+from ..operators import chat, discovery, evidence, graph, lineage, match, positions, reports, resolve, sampling, selection, spans, state, tagging
 from ..sources import crawl, paging, responses
 from ..streaming import ingest
 from . import shapes
@@ -42,6 +42,12 @@ def keyword_spans(spark, sf_dir):
     return spans.keyword_spans(_docs(spark, sf_dir), LEXICON).withColumn("terms", _bar("terms"))
 
 
+@query
+def lexicon_tags(spark, sf_dir):
+    """The whole default lexicon over every sentence."""
+    return tagging.term_hits(_docs(spark, sf_dir), vocabulary.SENTENCE_LEXICON).withColumn("terms", _bar("terms"))
+
+
 @query
 def span_index(spark, sf_dir):
     return spans.span_index(_docs(spark, sf_dir), LEXICON, patterns={"email": PATTERNS["email"]})
