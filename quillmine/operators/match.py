@@ -2,36 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids
+from .lineage import cut
 
 # Markers of strains that cannot be resolved.
 UNRESOLVED = ["not specified", "unspecified", "exact designation not", "exact strain", "not in abstract", "not individually specified"]
 STATUSES = ["not_checked", "no_genome_found", "exact_strain_match", "multiple_possible_matches", "species_only_match"]
 
 
+#: Length of the pieces that the index holds; a shorter token is a piece of its own length.
+GRAM = 4
+#: Entries that hold a piece, beyond which its tokens and entries meet in several tasks.
+SALT_ROWS = 4096
+
+
+def _pieces(text: Column, size: int) -> Column:
+    """The distinct substrings of ``size`` characters."""
+    n = F.length(text) - size + 1
+    return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(text, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+
+def containing(tokens: DataFrame, entries: DataFrame, gram: int = GRAM, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """``group, token`` and the columns of the entries of the group whose ``text`` contains the token (all of them, and no other).
+
+    ``tokens``: group, token (distinct, not empty); ``entries``: group, text and more. An inverted index of the entries' pieces, of which only those are made that
+    some token of the group has, counts how many entries hold each. A token asks for its rarest piece alone, and the entries that hold
+    it are looked through. The entries of a frequent piece are dealt over several tasks by a salt. Nothing is joined on the group alone.
+    """
+    sizes = F.least(F.length("token"), F.lit(gram))
+    asked = tokens.select("group", "token", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("token") - sizes + 1), lambda i: F.substring("token", i, sizes)))).alias("piece"))
+    asked = cut(asked)
+    wanted = asked.select("group", "piece").distinct()
+    made = F.array_distinct(F.flatten(F.array(*(_pieces(F.col("text"), n) for n in range(1, gram + 1)))))
+    held = cut(entries.withColumn("piece", F.explode(made)).join(wanted, ["group", "piece"], "left_semi"))
+    often = held.groupBy("group", "piece").agg(F.count("*").alias("n"))
+    # a token with a piece that no entry holds is in none
+    ranked = asked.join(often, ["group", "piece"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = ranked.groupBy("group", "token").agg(F.min(F.struct("n", "piece")).alias("r")).where("r.n > 0").select("group", "token", "r.piece", (F.col("r.n") / salt_rows).cast("int").alias("salts"))
+    salted = rarest.select("group", "token", "piece", F.explode(F.sequence(F.lit(0), "salts")).alias("salt"))
+    rows = held.join(rarest.select("group", "piece", "salts").distinct(), ["group", "piece"])
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("text", *(c for c in entries.columns if c not in ("group", "text"))), F.col("salts") + 1).cast("int")).drop("salts")
+    return salted.join(rows, ["group", "piece", "salt"]).where(F.contains("text", "token")).drop("piece", "salt")
+
+
 def catalog_match(observed: DataFrame, catalog: DataFrame, id_col: str = "observation_id", markers: list[str] = UNRESOLVED) -> DataFrame:
     """``id, binomial, strain_token, genome_match_status, accession, n_strain_hits`` for each row of ``observed`` (id, organism_name, strain_name).
 
     ``catalog``: accession, organism, match_text, rank (the order in which entries count as first). Each distinct (binomial, strain token) is
-    matched once and joined back. Candidates are joined on the binomial (an equi-join that AQE may broadcast or split) and reduced by
-    mergeable aggregates, so a species with many entries is never gathered in one list.
+    matched once and joined back. What a species' entries say together, their number and the first, is one aggregate; which of them name a strain, an
+    index of pieces tells (:func:`containing`), so a species with many strains and many entries does not pair all of them.
     """
     named = observed.select(
         id_col, ids.binomial(F.col("organism_name")).alias("binomial"), F.lower(ids.strain_token(F.col("strain_name"))).alias("strain_token"),
         ids.strain_resolvable(F.col("strain_name"), markers).alias("resolvable"),
     )
     pairs = named.select("binomial", "strain_token", "resolvable").distinct()
-    entries = catalog.select(ids.binomial(F.col("organism")).alias("b"), "accession", F.lower("match_text").alias("m"), "rank")
-    hit = F.col("resolvable") & (F.col("strain_token") != "") & F.contains("m", F.col("strain_token"))
-    joined = pairs.join(entries, pairs["binomial"] == entries["b"], "left")
-    found = joined.groupBy("binomial", "strain_token", "resolvable").agg(
-        F.count("accession").alias("n"), F.count(F.when(hit, 1)).alias("n_strain_hits"),
-        F.min(F.when(F.col("accession").isNotNull(), F.struct("rank", "accession")))["accession"].alias("first"),
-        F.min(F.when(hit, F.struct("rank", "accession")))["accession"].alias("first_hit"),
-    )
+    entries = cut(catalog.select(ids.binomial(F.col("organism")).alias("group"), F.lower("match_text").alias("text"), "rank", "accession").where("accession IS NOT NULL"))
+    first = lambda c: F.min(F.struct("rank", "accession"))["accession"].alias(c)
+    species = entries.groupBy("group").agg(F.count("*").alias("n"), first("first"))
+    asked = pairs.where(F.col("resolvable") & (F.col("strain_token") != "") & F.col("binomial").isNotNull()).select(F.col("binomial").alias("group"), F.col("strain_token").alias("token")).distinct()
+    hits = containing(asked, entries).groupBy("group", "token").agg(F.count("*").alias("n_strain_hits"), first("first_hit"))
+    found = pairs.join(species, pairs["binomial"] == species["group"], "left").drop("group")
+    same = found["resolvable"] & (found["binomial"] == hits["group"]) & (found["strain_token"] == hits["token"])
+    found = found.join(hits, same, "left").drop("group", "token").withColumns({"n": F.coalesce("n", F.lit(0)), "n_strain_hits": F.coalesce("n_strain_hits", F.lit(0))})
     status = (
         F.when(F.size(F.split("binomial", " ")) < 2, "not_checked").when(F.col("n") == 0, "no_genome_found")
         .when(F.col("n_strain_hits") == 1, "exact_strain_match").when(F.col("n_strain_hits") > 1, "multiple_possible_matches").otherwise("species_only_match")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 
 def quota_batch(rows: DataFrame, limit: int, pool_col: str = "pool", order_cols: tuple[str, ...] = ("n",), quotas: dict[str, float] | None = None, rest: tuple[str, ...] = ("negative", "table", "other")) -> DataFrame:
     """``rows`` of a batch of ``limit``, with ``place`` from 1: each pool's quota first, then what is left of the pools in the order of ``rest``.
@@ -44,31 +45,25 @@ def greedy_quota(hits: DataFrame, per_topic: int, seen: DataFrame | None = None)
     """``topic, pass, rank, paper_id`` of the hits that fill the topics' quotas, topics taken in ``topic_no`` order.
 
     ``hits``: topic_no, topic, pass, rank, paper_id. Topics come one after another; only papers that no earlier hit took (and none in ``seen``)
-    use quota, and a topic stops at its quota, which its passes share. The choice depends on all earlier ones, so one task walks
-    the hits in order; what it gets is cut before: a topic that has seen enough distinct papers can't need more than ``per_topic`` plus all
-    that earlier topics can take.
+    use quota, and a topic stops at its quota, which its passes share. First every topic is cut to the hits that it could need: its first
+    ``per_topic`` papers and as many for each topic before it, for these can take no more; the bound is a literal, so tasks keep only that many a topic before
+    anything is shuffled. Then a round for each topic takes the first of its hits whose papers no earlier round took. What rounds read is
+    at most topics x topics x ``per_topic`` rows, whatever the table holds.
     """
     if seen is not None:
         hits = hits.join(seen.select("paper_id"), "paper_id", "left_anti")
+    topics = [r.topic_no for r in hits.select("topic_no").where("topic_no IS NOT NULL").distinct().orderBy("topic_no").collect()]  # one number a topic
     # a repeat within the topic never uses quota
-    first = Window.partitionBy("topic_no", "paper_id").orderBy("pass", "rank")
-    hits = hits.withColumn("_f", F.row_number().over(first)).where("_f = 1").drop("_f")
-    place = Window.partitionBy("topic_no").orderBy("pass", "rank", "paper_id")
-    hits = hits.withColumn("_p", F.row_number().over(place)).where(F.col("_p") <= per_topic * (F.col("topic_no") + 1)).drop("_p")
-
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        taken, used, keep = set(), {}, []
-        for i, (topic, paper) in enumerate(zip(group["topic_no"], group["paper_id"], strict=True)):
-            if paper not in taken and used.get(topic, 0) < per_topic:
-                taken.add(paper)
-                used[topic] = used.get(topic, 0) + 1
-                keep.append(i)
-        return group.iloc[keep][["topic", "pass", "rank", "paper_id"]]
-
-    kinds = {f.name: f.dataType.simpleString() for f in hits.schema.fields}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in ("topic", "pass", "rank", "paper_id"))
-    ordered = lambda g: walk(g.sort_values(["topic_no", "pass", "rank", "paper_id"], kind="stable").reset_index(drop=True))
-    return hits.groupBy(F.lit(0).alias("_all")).applyInPandas(ordered, schema)
+    order = ["pass", "rank", "paper_id"]
+    rows = hits.groupBy("topic_no", "paper_id").agg(F.min(F.struct("pass", "rank", "topic")).alias("_r")).select("topic_no", "_r.topic", "_r.pass", "_r.rank", "paper_id")
+    place = F.row_number().over(Window.partitionBy("topic_no").orderBy(*order))
+    rows = cut(rows.withColumn("_p", place).where(F.col("_p") <= per_topic * max(1, len(topics))).drop("_p"))
+    taken = rows.limit(0)
+    for topic in topics:
+        free = rows.where(F.col("topic_no") == topic).join(F.broadcast(taken.select("paper_id")), "paper_id", "left_anti")  # per_topic rows an earlier topic
+        found = cut(free.select(*rows.columns).orderBy(*order).limit(per_topic))
+        taken = taken.unionByName(found)
+    return taken.select("topic", "pass", "rank", "paper_id")
 
 
 def domain_counts(rows: DataFrame, col: str, domain: list[str]) -> DataFrame:

@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions import ids
 
-#: Statuses in the order in which a paper goes through them.
-STATUS_RANK = ["discovered", "metadata_fetched", "fulltext_unavailable", "screened_irrelevant", "screened_relevant", "extraction_complete"]
+#: The statuses of a paper, in the order in which it goes through them; it need not meet all.
+STATUS_RANK = ["discovered", "metadata_fetched", "fulltext_fetched", "fulltext_unavailable", "screened_irrelevant", "screened_relevant", "needs_review", "extraction_complete"]
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, sets: list[str] = (), first: list[str] = (), monotone: str | None = None, order_col: str | None = None) -> DataFrame:
     """``old`` with ``new`` merged in by ``key``; both have the same columns.
 
     A non-empty incoming value wins; columns in ``sets`` (arrays) are united and sorted; those in ``first`` keep the old value if
-    there is one; the status column ``monotone`` never falls in STATUS_RANK (without it a new status wins like any value). Several
-    incoming rows of a key are merged first: the last non-empty value by ``order_col``, the union of sets, the first of ``first``.
+    there is one; the status column ``monotone`` never falls in STATUS_RANK, and an incoming status that is none of these is an error
+    (without ``monotone`` a new status wins like any value). Several incoming rows of a key are merged first: the last non-empty value by ``order_col``, the union of sets, the first of ``first``.
     """
     columns = [c for c in old.columns if c != key]
-    rank = lambda c: F.array_position(F.array(*map(F.lit, STATUS_RANK)), c)
+    place = lambda c: F.array_position(F.array(*map(F.lit, STATUS_RANK)), c)
+    rank = lambda c: F.when(place(c) > 0, place(c)).otherwise(F.raise_error(F.concat(F.lit("no such status: "), c)).cast("long"))
     if order_col:
         pick = {}
         for c in columns:
@@ -37,7 +38,7 @@ def upsert(old: DataFrame, new: DataFrame, key: str, sets: list[str] = (), first
         elif c in first:
             out.append(F.when(F.coalesce(x.cast("string") != "", F.lit(False)), x).otherwise(y).alias(c))
         elif c == monotone:
-            out.append(F.when(x.isNull() | (there & (rank(y) > rank(x))), y).otherwise(x).alias(c))
+            out.append(F.when(there & (rank(y) > F.coalesce(place(x), F.lit(0))), y).when(x.isNull(), y).otherwise(x).alias(c))
         else:
             out.append(F.when(there | x.isNull(), y).otherwise(x).alias(c))
     return a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full").select(F.coalesce(f"a.{key}", f"b.{key}").alias(key), *out)

@@ -152,6 +152,8 @@ SELECT observation_id, binomial, token AS strain_token, CASE WHEN NOT contains(b
 ORACLES["triage_stub"] = """SELECT doc_id AS paper_id, CASE WHEN doc_id % 6 = 0 OR coalesce(text, '') = '' THEN 'maybe' WHEN contains(lower(source || left(text, 2500)), 'stre') THEN 'maybe'
   WHEN contains(lower(left(text, 2500)), 'license') THEN 'yes' ELSE 'no' END AS decision, NOT (doc_id % 6 = 0 OR coalesce(text, '') = '') AS abstract_available FROM documents"""
 ORACLES["incremental_ingest"] = """SELECT user_id AS paper_id, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS discovery_sources, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen_at FROM events GROUP BY 1"""
+ORACLES["concurrent_merge"] = """SELECT d.doc_id, concat_ws('|', CASE WHEN lang = 'de' THEN 'german' END, CASE WHEN d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 'good' END,
+  CASE WHEN d.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 'toxic' END) AS marks, source || '/' || d.doc_id AS place FROM documents d WHERE NOT coalesce(n_chars < 400, false)"""
 ORACLES["greedy_quota"] = """WITH RECURSIVE t(topic, no) AS (VALUES ('view', 0), ('click', 1), ('signup', 2), ('error', 3), ('purchase', 4)),
 f AS (SELECT no, topic, CAST(event_id % 2 AS INTEGER) AS pass, event_id AS rank, user_id AS paper_id FROM events JOIN t ON topic = event_type QUALIFY row_number() OVER (PARTITION BY no, user_id ORDER BY event_id % 2, event_id) = 1),
 steps(no, taken) AS (

@@ -1,8 +1,8 @@
 """The phases of a discovery run over stored tables (T5, section 3.2): search, citations, screen, extract, reports.
 
-A store is a folder of tables, each a folder of numbered versions; a phase reads the last versions and writes new ones, so one that is
-stopped leaves the tables as they were and can be run again. The outside world is in the inputs: records, hits, citation edges and
-full-text passages come as tables, the model as a chat client.
+A store is a folder of keyed tables, to which phases commit their changes; one that is stopped leaves the tables as they were and can be run
+again, and several may run at once: a phase that meets another's commit makes its change anew. No two papers have one pmid. The outside world is in
+the inputs: records, hits, citation edges and full-text passages come as tables, the model as a chat client.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from ..functions import text, vocabulary
 from ..operators import chat, discovery, graph, reports, state
-from ..streaming.ingest import read_state, versions
+from ..operators.lineage import cut
+from ..sources.keyed import KeyedTable
 
 PHASES = ("search", "citations", "screen", "extract", "reports")
 _STRING, _SET = T.StringType(), T.ArrayType(T.StringType())
@@ -37,23 +38,28 @@ class Store:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def table(self, name: str, schema: T.StructType) -> KeyedTable:
+        key = "attempt_id" if name == "attempts" else "paper_id"
+        return KeyedTable(self.spark, f"{self.folder}/{name}", schema, key, ("pmid",) if name == "papers" else ())
+
     def read(self, name: str, schema: T.StructType) -> DataFrame:
-        return read_state(self.spark, f"{self.folder}/{name}", schema)
+        return self.table(name, schema).read()
+
 
-    def write(self, name: str, rows: DataFrame, schema: T.StructType) -> None:
-        last = versions(self.spark, f"{self.folder}/{name}")
-        columns = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self.folder}/{name}/v{last[-1] + 1 if last else 0}")
+def _upsert(store: Store, new: DataFrame) -> None:
+    """Merge papers into those of the store; rows of other papers are not written."""
+    new = cut(new.select(*((F.col(f.name) if f.name in new.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in PAPERS.fields)))
+    keys = new.select("paper_id").distinct()
 
+    def change(papers: DataFrame) -> tuple[DataFrame, None]:
+        touched = papers.join(keys, "paper_id", "left_semi")
+        return state.upsert(touched, new, "paper_id", sets=discovery.PAPER_SETS, monotone="processing_status"), None
 
-def _upserted(store: Store, new: DataFrame) -> DataFrame:
-    old = store.read("papers", PAPERS)
-    filled = new.select(*((F.col(f.name) if f.name in new.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in PAPERS.fields))
-    return state.upsert(old, filled, "paper_id", sets=discovery.PAPER_SETS, monotone="processing_status")
+    store.table("papers", PAPERS).commit(change)
 
 
 def search(store: Store, inputs: Inputs) -> None:
-    store.write("papers", _upserted(store, discovery.hits_to_papers(inputs.records, inputs.hits)), PAPERS)
+    _upsert(store, discovery.hits_to_papers(inputs.records, inputs.hits))
 
 
 def citations(store: Store, inputs: Inputs, depth: int = 1, max_seeds: int | None = None) -> None:
@@ -63,14 +69,14 @@ def citations(store: Store, inputs: Inputs, depth: int = 1, max_seeds: int | Non
     reached = graph.breadth_first(inputs.edges, seeds, depth, max_seeds)
     near = inputs.edges.join(reached.where(F.col("hop") < depth).select(F.col("node").alias("src")), "src", "left_semi")
     hits = near.select(F.col("dst").alias("pmid"), F.col("label").alias("source"), F.concat_ws(":", "label", "src").alias("query"), F.col("src").alias("seed"))
-    store.write("papers", _upserted(store, discovery.hits_to_papers(inputs.records, hits)), PAPERS)
+    _upsert(store, discovery.hits_to_papers(inputs.records, hits))
 
 
 def screen(store: Store, inputs: Inputs) -> None:
     papers = store.read("papers", PAPERS)
     open_ = papers.where(F.col("processing_status").isin("metadata_fetched", "discovered"))
     screened = discovery.screen(open_, inputs.passages.join(open_.select("paper_id"), "paper_id", "left_semi"))
-    store.write("papers", _upserted(store, screened), PAPERS)
+    _upsert(store, screened)
 
 
 def extract(store: Store, inputs: Inputs, client: chat.Client, limit: int = 0) -> None:
@@ -85,14 +91,16 @@ def extract(store: Store, inputs: Inputs, client: chat.Client, limit: int = 0) -
     said = F.array_join(F.flatten(F.array(*(F.transform(f"{b}_chunks", lambda c: c["context"]) for b in buckets))), " ")
     asked = queue.select("paper_id", F.concat_ws("\n\n", *map(part, buckets)).alias("prompt"), text.sentences(said).alias("sentences"), *(F.transform(f"{b}_chunks", lambda c: c["chunk_id"]).alias(f"{b}_chunk_ids") for b in buckets))
     answered = chat.ask(asked, client, chat.attempt_system(vocabulary.ATTEMPT_OUTCOMES, vocabulary.ATTEMPT_WILD_TYPES, vocabulary.FAILURE_REASONS))
-    folder = f"{store.folder}/replies"
-    store.write("replies", answered, answered.schema)  # calls are dear: what follows reads what was answered
-    replies = read_state(store.spark, folder, answered.schema).where("reply IS NOT NULL")
-    new = chat.attempts(replies, vocabulary.ATTEMPT_OUTCOMES, vocabulary.ATTEMPT_WILD_TYPES)
-    kept = store.read("attempts", ATTEMPTS).join(replies.select("paper_id"), "paper_id", "left_anti")
-    store.write("attempts", kept.unionByName(new), ATTEMPTS)
-    done = replies.select("paper_id", F.lit("extraction_complete").alias("processing_status"))
-    store.write("papers", _upserted(store, done), PAPERS)
+    answered = cut(answered.where("reply IS NOT NULL"))  # calls are dear: what follows reads what was answered
+    store.table("replies", answered.schema).put(answered)
+    new = cut(chat.attempts(answered, vocabulary.ATTEMPT_OUTCOMES, vocabulary.ATTEMPT_WILD_TYPES))
+
+    def change(attempts: DataFrame) -> tuple[DataFrame, DataFrame]:
+        stale = attempts.join(answered.select("paper_id"), "paper_id", "left_semi").select("attempt_id").join(new.select("attempt_id"), "attempt_id", "left_anti")
+        return new, stale
+
+    store.table("attempts", ATTEMPTS).commit(change)
+    _upsert(store, answered.select("paper_id", F.lit("extraction_complete").alias("processing_status")))
 
 
 def report_tables(store: Store) -> dict[str, DataFrame]:

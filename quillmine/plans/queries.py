@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import ids, lexicon, markup, replies, scoring, text, vocabulary
 from ..operators import chat, discovery, evidence, graph, lineage, match, positions, reports, resolve, sampling, selection, spans, state, tagging
-from ..sources import crawl, paging, responses
+from ..sources import crawl, keyed, paging, responses
 from ..streaming import ingest
 from . import shapes
 from .shapes import LEXICON, PATTERNS, PHRASES, table
@@ -359,11 +360,15 @@ def attempts_stub(spark, sf_dir):
     return chat.attempts(rows, ["success", "failure"], ["explicit_wild_type"]).drop("methods_chunk_ids", "results_chunk_ids", "supplement_chunk_ids")
 
 
+def _shared_folder(spark, name: str) -> str:
+    lineage.use_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 @query
 def incremental_ingest(spark, sf_dir):
-    """Events as four files, streamed one at a time into upserted papers; the final state."""
-    lineage.use_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/ingest-{uuid.uuid4().hex}"
+    """Events as four files, streamed one at a time into a keyed table of papers, of which each batch writes only its own; the final state."""
+    folder = _shared_folder(spark, "ingest")
     rows = _event_papers(spark, sf_dir)
     for i in range(4):
         rows.where(F.col("event_id") % 4 == i).coalesce(1).write.mode("append").parquet(f"{folder}/in")
@@ -374,8 +379,27 @@ def incremental_ingest(spark, sf_dir):
         seen = old.select("paper_id", "discovery_sources", "first_seen_at").unionByName(new.select("paper_id", "discovery_sources", "first_seen_at"))
         return seen.groupBy("paper_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("discovery_sources")))).alias("discovery_sources"), F.min("first_seen_at").alias("first_seen_at"))
 
-    ingest.ingest(stream, f"{folder}/state", f"{folder}/checkpoint", schema, smallest)
-    return ingest.read_state(spark, f"{folder}/state", schema).select("paper_id", _bar("discovery_sources").alias("discovery_sources"), "first_seen_at")
+    papers = keyed.KeyedTable(spark, f"{folder}/state", schema, "paper_id")
+    ingest.ingest_keyed(stream, papers, f"{folder}/checkpoint", smallest)
+    return papers.read().select("paper_id", _bar("discovery_sources").alias("discovery_sources"), "first_seen_at")
+
+
+@query
+def concurrent_merge(spark, sf_dir):
+    """Three writers at once mark the documents of a table (quality, toxicity, language) and one removes; every mark is there in the end."""
+    folder = _shared_folder(spark, "merge")
+    docs, labels = _docs(spark, sf_dir), table(spark, sf_dir, "labels")
+    marked = keyed.KeyedTable(spark, folder, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("marks", T.ArrayType(T.StringType())), T.StructField("place", T.StringType())]), "doc_id", ("place",), fold=3)
+    none = F.array().cast("array<string>")
+    marked.put(docs.select("doc_id", none.alias("marks"), F.concat("source", F.lit("/"), "doc_id").alias("place")))
+
+    def marking(ids_: DataFrame, mark: str):
+        return lambda rows: (rows.join(ids_.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("marks", F.array_sort(F.array_union("marks", F.array(F.lit(mark))))), None)
+
+    changes = [marking(labels.where("quality = 1"), "good"), marking(labels.where("toxic = 1"), "toxic"), marking(docs.where("lang = 'de'"), "german"), lambda rows: (None, docs.where("n_chars < 400").select("doc_id"))]
+    with ThreadPoolExecutor(len(changes)) as pool:
+        list(pool.map(marked.commit, changes))
+    return marked.read().withColumn("marks", _bar("marks"))
 
 
 @query
@@ -421,8 +445,7 @@ def citation_tags(spark, sf_dir):
 
 def _crawled(spark, sf_dir, style: str, most: int, item) -> DataFrame:
     """A crawl of every source over the recorded answers of a service that lists its documents by id."""
-    lineage.use_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/crawl-{uuid.uuid4().hex}"
+    folder = _shared_folder(spark, "crawl")
     docs = _docs(spark, sf_dir).select("source", "doc_id", F.col("doc_id").cast("string").alias("id"))
     pages = lineage.cut(crawl.record_pages(docs, style, "https://host/api", most, "source", "id", ["doc_id"]))
     found = crawl.crawl(spark, folder, docs, crawl.recorded(pages), style, "https://host/api", most, "source")

@@ -1,7 +1,8 @@
 """Incremental ingest as Structured Streaming (T1-T5): new files are merged into keyed state, batch by batch.
 
-State is a folder of numbered versions; a batch reads the last one, merges, writes the next and leaves the older one for readers. A batch
-that is run again after a failure writes its own version again, so each batch counts once.
+:func:`ingest_keyed` merges a batch with the rows of its own keys and commits these to a :class:`~quillmine.sources.keyed.KeyedTable`, so what it writes follows the batch, not
+the state; commits carry the batch's number, so one that is run again counts once. :func:`ingest` is for merges that need the whole state: a folder of
+numbered versions, of which a batch writes the next and the last KEPT stay for readers.
 """
 
 from __future__ import annotations
@@ -12,7 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.lineage import remove
 from ..operators.state import upsert
+from ..sources.keyed import KeyedTable
+
+#: Versions of a whole state that stay.
+KEPT = 3
 
 
 def _fs(spark: SparkSession, path: str):
@@ -43,6 +49,22 @@ def ingest(stream: DataFrame, folder: str, checkpoint: str, schema: T.StructType
         spark = batch.sparkSession
         old = read_state(spark, folder, schema, before=number)
         merge(old, batch).write.mode("overwrite").parquet(f"{folder}/v{number}")
+        for v in versions(spark, folder)[:-KEPT]:
+            remove(spark, f"{folder}/v{v}")
+
+    query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def ingest_keyed(stream: DataFrame, table: KeyedTable, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """Run all that is available of ``stream`` into ``table``: ``merge(rows of the batch's keys, batch)`` takes their place.
+
+    Other writers may commit to the table meanwhile; a batch that meets one is merged anew.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        keys = batch.select(table.key).distinct()
+        table.commit(lambda state: (merge(state.join(keys, table.key, "left_semi"), batch), None), token=f"{checkpoint}:{number}")
 
     query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
