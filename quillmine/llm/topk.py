@@ -7,9 +7,11 @@ Children of one row each are kept together as the node's singles. For a query no
 among the node's queries. Bounds of all children are one matrix product. A pair whose bound equals the worst kth score is searched, so
 ties are settled by id. Scores are exact integers: doubles where every product fits them, else longs, else Python's integers.
 
-Points are dealt into blocks of bounded size by a hash of id and vector. A task sorts a block's points before the queries, which come in blocks
-too: it builds the points' tree once, then searches it for one block of queries after another, so it holds one of each. Only
-the queries, a small part of the rows, are copied to every block. The blocks' best are merged.
+Across tasks the same rule holds one level up. Points are dealt into regions, each to the nearest of a bounded number of centres that are picked, far from one another,
+from a sample; a region too large for a task is cut into blocks by a hash. A query is first searched in its own region, which gives it a first kth
+score. Then the queries of a region, a group with a radius of its own, meet the other regions as node pairs: where the bound of group and region, or of the
+query and the region, is below the kth score, the pair is pruned, and the query is never sent there. A task sorts a block's points before the queries
+that come to it: it builds the points' tree once, then searches it for one block of queries after another, so it holds one of each. All blocks' best are merged.
 """
 
 from __future__ import annotations
@@ -21,9 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.lineage import cut
+
 LEAF = 64
 #: Rows of a block of queries, and of points.
 QUERY_BLOCK, POINT_BLOCK = 1024, 16_384
+#: Regions at most, and components of the sampled vectors that their centres are picked from.
+REGIONS, SAMPLE_VALUES = 4096, 1 << 21
 #: Rows of which the distances to all others are computed at once.
 _AT_ONCE = 256
 _LOW, _HIGH = -(1 << 63), (1 << 63) - 1
@@ -97,7 +103,8 @@ class CoverTree:
 class Search:
     """The best ``k`` of ``points`` for each of ``queries``; points with the query's own id are left out. Both are sorted by id."""
 
-    def __init__(self, queries: CoverTree, q_ids: np.ndarray, points: CoverTree, p_ids: np.ndarray, k: int):
+    def __init__(self, queries: CoverTree, q_ids: np.ndarray, points: CoverTree, p_ids: np.ndarray, k: int, least: np.ndarray | None = None):
+        """``least``: a score for each query that its kth best among all points is known to reach."""
         self.q, self.p, self.q_ids, self.p_ids, self.k = queries, points, q_ids, p_ids, k
         self.score = np.full((len(q_ids), k), _LOW, np.int64)
         self.ids = np.full((len(q_ids), k), _HIGH, np.int64)
@@ -105,6 +112,8 @@ class Search:
         #: No score below this is among a query's best; the same as a double no larger.
         self.least, self.worst = np.full(len(q_ids), _LOW, np.int64), np.full(len(q_ids), -np.inf)
         self.pairs = 0
+        if least is not None:
+            self._raise(np.arange(len(q_ids)), least)
         if len(q_ids) and len(p_ids):
             self._begin()
             self._visit(0, np.zeros(1, np.int64))
@@ -220,12 +229,9 @@ def quantised(embedding: Column, scale: int = 1024) -> Column:
     return F.when(embedding.isNotNull() & ~bad, whole)
 
 
-_COLUMNS = "pb int, dim int, kind int, qb int, id long, v array<long>"
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, ...], np.ndarray, np.ndarray]]:
-    """(pb, dim, kind, qb), ids and vectors of each run of rows of _COLUMNS that agree in the first four."""
-    key, ids, vectors = None, [], []
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, ...], np.ndarray, np.ndarray, np.ndarray]]:
+    """(pb, dim, kind, qb), ids, vectors and least scores of each run of rows that agree in the first four columns."""
+    key, ids, vectors, least = None, [], [], []
     for batch in batches:
         keys = np.stack([batch.column(i).to_numpy() for i in range(4)], axis=1)
         flat = batch.column(5).flatten().to_numpy(zero_copy_only=False)
@@ -236,29 +242,123 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, ...],
                 continue
             now = tuple(keys[lo].tolist())
             if key is not None and now != key:
-                yield key, np.concatenate(ids), np.concatenate(vectors)
-                ids, vectors = [], []
+                yield key, np.concatenate(ids), np.concatenate(vectors), np.concatenate(least)
+                ids, vectors, least = [], [], []
             key = now
+            least.append(batch.column(6).slice(lo, hi - lo).to_numpy())
             ids.append(batch.column(4).slice(lo, hi - lo).to_numpy())
             vectors.append(flat[ends[lo] - now[1] : ends[hi - 1]].reshape(hi - lo, now[1]).astype(np.int64))
     if key is not None:
-        yield key, np.concatenate(ids), np.concatenate(vectors)
+        yield key, np.concatenate(ids), np.concatenate(vectors), np.concatenate(least)
 
 
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = p_ids = at = None
-        for (pb, dim, kind, _), ids, vectors in _runs(batches):
+        for (pb, dim, kind, _), ids, vectors, least in _runs(batches):
             if not kind:
                 tree, p_ids, at = CoverTree(vectors), ids, (pb, dim)
             elif at == (pb, dim):
-                found = Search(CoverTree(vectors), ids, tree, p_ids, k)
+                found = Search(CoverTree(vectors), ids, tree, p_ids, k, least)
                 on = found.found
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, on.sum(1))), pa.array(found.ids[on]), pa.array(found.score[on])], ["query_id", "vec_id", "score"])
 
     return run
 
 
+def far_apart(x: np.ndarray, n: int) -> np.ndarray:
+    """``n`` rows (fewer, if fewer are unlike), each the one that is furthest from those before it."""
+    rows = x.astype(np.float64)
+    best, picked = np.full(len(rows), np.inf), [0]
+    for _ in range(min(n, len(rows)) - 1):
+        best = np.minimum(best, ((rows - rows[picked[-1]]) ** 2).sum(1))
+        if best.max() <= 0:
+            break
+        picked.append(int(best.argmax()))
+    return x[picked]
+
+
+def _centres(points: DataFrame, regions: int) -> dict[int, np.ndarray]:
+    """By length of vectors, centres of regions, picked from a sample of a bounded size; lengths that the sample lacks have none."""
+    widest = points.agg(F.max("dim")).first()[0]
+    rows = points.select("v", "dim").orderBy(F.xxhash64("id", "v"), "id").limit(max(1, min(8 * regions, SAMPLE_VALUES // max(1, widest)))).collect()
+    by_dim: dict[int, list] = {}
+    for r in rows:
+        by_dim.setdefault(r.dim, []).append(r.v)
+    return {dim: far_apart(np.array(found, np.int64), max(1, round(regions * len(found) / len(rows)))) for dim, found in by_dim.items() if dim}
+
+
+def _slack(norm: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """What rounding may take from a distance or a bound."""
+    return 1e-6 * (norm + other) + 1e-9
+
+
+def _placed(centres: dict[int, np.ndarray]):
+    """Adds ``region``, the number of the nearest centre (-1: none), and ``far``, no less than the distance to it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 2048):
+                batch = whole.slice(lo, 2048)
+                dims = batch.column(batch.schema.get_field_index("dim")).to_numpy()
+                vectors = batch.column(batch.schema.get_field_index("v"))
+                region, far = np.full(len(dims), -1, np.int32), np.zeros(len(dims))
+                for dim in np.unique(dims).tolist():
+                    at = np.flatnonzero(dims == dim)
+                    if dim in centres:
+                        x = vectors.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(at), dim)
+                        c = centres[dim].astype(np.float64)
+                        norm = np.sqrt((c * c).sum(1))
+                        apart = (x * x).sum(1)[:, None] + norm**2 - 2 * (x @ c.T)
+                        region[at] = apart.argmin(1)
+                        far[at] = np.sqrt(np.maximum(((x - c[region[at]]) ** 2).sum(1), 0)) + _slack(np.sqrt((x * x).sum(1)), norm[region[at]])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(region), pa.array(far)], [*batch.schema.names, "region", "far"])
+
+    return run
+
+
+def reached(x: np.ndarray, least: np.ndarray, group: int, far: np.ndarray, centres: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Which regions (columns) may hold a point that scores ``least`` or more with each query of a group (rows), the group's own left out.
+
+    ``group``: the region that the queries are of, at distances ``far`` from its centre; ``radius``: of each region, negative if it has no points.
+    """
+    x, c = x.astype(np.float64), centres.astype(np.float64)
+    norm, size, low = np.sqrt((c * c).sum(1)), np.sqrt((x * x).sum(1)), np.nextafter(least.astype(np.float64), -np.inf)
+    r = far.max()
+    rest = r * norm + radius * norm[group] + r * radius
+    pair = c @ c[group] + rest + 1e-9 * (norm * norm[group] + rest) + 1e-6
+    near = (pair >= low.min()) & (radius >= 0)
+    near[group] = False
+    out = np.zeros((len(x), len(c)), bool)
+    if near.any():
+        rest = size[:, None] * radius[near]
+        bound = x @ c[near].T + rest + 1e-9 * (size[:, None] * norm[near] + rest) + 1e-6
+        out[:, near] = bound >= low[:, None]
+    return out
+
+
+def _sent(centres: dict[int, np.ndarray], radius: dict[int, np.ndarray]):
+    """Queries (columns as they are, with ``region``, ``far``, ``least``), a row for each other region that they must be searched in (``to``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            dims, regions = column["dim"].to_numpy(), column["region"].to_numpy()
+            for dim, region in sorted(set(zip(dims.tolist(), regions.tolist(), strict=True))):
+                if dim not in centres:
+                    continue
+                group = np.flatnonzero((dims == dim) & (regions == region))
+                for lo in range(0, len(group), QUERY_BLOCK):
+                    at = group[lo : lo + QUERY_BLOCK]
+                    x = column["v"].take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), dim)
+                    near = reached(x, column["least"].to_numpy()[at], region, column["far"].to_numpy()[at], centres[dim], radius[dim])
+                    row, to = np.nonzero(near)
+                    for part in range(0, len(row), 4096):
+                        yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at[row[part : part + 4096]])) for c in batch.columns), pa.array(to[part : part + 4096].astype(np.int32))], [*batch.schema.names, "to"])
+
+    return run
+
+
 def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "v", repeats: bool = False) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` points with the highest inner products for each query, ties to the smaller id.
 
@@ -273,15 +373,41 @@ def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
         # of equal rows no more than k can be among the best k, so a copied row is no hot block
         return rows.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k if repeats else 1)).alias("n")).withColumn("dim", F.size("v"))
 
-    def copied(df: DataFrame) -> DataFrame:
-        return df.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select("pb", "dim", "kind", "qb", "id", "v")
-
-    p, q = side(points), side(queries)
-    n_p, n_q = (-(-max(1, df.agg(F.sum("n")).first()[0] or 0) // size) for df, size in ((p, POINT_BLOCK), (q, QUERY_BLOCK)))
-    place = F.xxhash64("id", "v")
-    p = p.withColumns({"pb": F.pmod(place, F.lit(n_p)).cast("int"), "kind": F.lit(0), "qb": F.lit(0)})
-    q = q.withColumns({"pb": F.explode(F.sequence(F.lit(0), F.lit(n_p - 1))), "kind": F.lit(1), "qb": F.pmod(place, F.lit(n_q)).cast("int")})
-    cells = copied(p).unionByName(copied(q)).repartition("pb", "dim").sortWithinPartitions("pb", "dim", "kind", "qb", "id")
-    best = cells.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    points, queries = side(points), side(queries)
+    n_points = points.agg(F.sum("n")).first()[0] or 0
+    n_queries = queries.agg(F.sum("n")).first()[0] or 0
+    regions = min(REGIONS, -(-n_points // POINT_BLOCK))
+    groups = max(1, -(-n_queries // QUERY_BLOCK))
+    centres = _centres(points, regions) if regions > 1 else {}
+    kinds = "id long, v array<long>, n long, dim int"
+    placed = [side_.mapInArrow(_placed(centres), f"{kinds}, region int, far double") for side_ in (points, queries)] if centres else [side_.withColumns({"region": F.lit(-1), "far": F.lit(0.0)}) for side_ in (points, queries)]
+    p, q = placed
+    # a row for each region (REGIONS and a rest at most, by length): its radius, and the blocks that it is cut into
+    found = p.groupBy("dim", "region").agg(F.max("far").alias("far"), F.sum("n").alias("n")).select("dim", "region", "far", F.ceil(F.col("n") / POINT_BLOCK).cast("int").alias("blocks"))
+    found = cut(found)
+    few = found.count() <= 1 << 18
+
+    def searched(p: DataFrame, q: DataFrame) -> DataFrame:
+        """The best of each query (``region``: where it is sent, ``least``) in the blocks of its region. A block is named by region and number."""
+        place = F.xxhash64("id", "v")
+        size = F.broadcast(found.select("dim", "region", "blocks")) if few else found.select("dim", "region", "blocks")
+        p = p.join(size, ["dim", "region"]).withColumns({"block": F.pmod(place, F.col("blocks")).cast("int"), "kind": F.lit(0), "qb": F.lit(0), "least": F.lit(_LOW)})
+        q = q.join(size, ["dim", "region"]).withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "kind": F.lit(1), "qb": F.pmod(place, F.lit(groups)).cast("int")})
+        rows = [side_.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select((F.col("region") * F.lit(1 << 32) + F.col("block")).alias("pb"), "dim", "kind", "qb", "id", "v", "least") for side_ in (p, q)]
+        cells = rows[0].unionByName(rows[1]).repartition("pb", "dim").sortWithinPartitions("pb", "dim", "kind", "qb", "id")
+        return cells.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+
+    best = searched(p, q.withColumn("least", F.lit(_LOW)))
+    if centres:
+        # a query of a length without centres has been everywhere that it could go
+        best = cut(best)
+        radius = {dim: np.full(len(c), -1.0) for dim, c in centres.items()}
+        for r in found.where("region >= 0").collect():
+            radius[r.dim][r.region] = r.far
+        place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        kth = best.withColumn("_n", place).where(F.col("_n") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
+        again = q.join(kth, "id", "left").withColumn("least", F.coalesce("least", F.lit(_LOW))).select("id", "v", "n", "dim", "region", "far", "least")
+        sent = again.repartition("dim", "region").sortWithinPartitions("dim", "region").mapInArrow(_sent(centres, radius), f"{kinds}, region int, far double, least long, to int")
+        best = best.union(searched(p, sent.withColumn("region", F.col("to"))))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

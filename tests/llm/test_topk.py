@@ -78,3 +78,44 @@ def test_large_components_do_not_crash(spark):
     df = df.select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
     got = {(r.query_id, r.vec_id): r.score for r in topk.top_k(df, df.where("vec_id % 100 = 0")).collect()}
     assert len(got) == 6 and got[0, 1] == 102_400_000 * 102_400_000 + 102_400_000 * 1024 and got[0, 2] == (1 << 63) - 1
+
+
+def test_pruned_regions_hold_no_answer():
+    rng = np.random.default_rng(9)
+    for spread, cut in ((20, 0.2), (4000, 1.01)):
+        x = np.repeat(rng.integers(-4000, 4000, (30, 16)), 60, 0) + rng.integers(-spread, spread, (1800, 16))
+        centres = topk.far_apart(x[::3], 20)
+        assert len(centres) == 20 and len(np.unique(centres, axis=0)) == 20
+        apart = np.sqrt(((x[:, None] - centres[None]) ** 2).sum(-1).astype(float))
+        region, far = apart.argmin(1), apart.min(1) * (1 + 1e-9) + 1e-3
+        radius = np.array([far[region == r].max() if (region == r).any() else -1.0 for r in range(20)])
+        sent = 0
+        for g in range(20):
+            rows = np.flatnonzero(region == g)[::7]
+            if not len(rows):
+                continue
+            scores = x[rows] @ x.T
+            least = np.sort(scores[:, region == g], axis=1)[:, -min(10, int((region == g).sum()))]
+            near = topk.reached(x[rows], least, g, far[rows], centres, radius)
+            sent += near.sum()
+            for r in range(20):
+                if r != g and (region == r).any():
+                    assert (near[:, r] | (scores[:, region == r].max(1) < least)).all()
+        assert sent < cut * 20 * len(x[::7])
+    assert len(topk.far_apart(np.ones((5, 3), np.int64), 4)) == 1
+
+
+def test_regions_and_lengths(spark, monkeypatch):
+    """Clusters in several blocks, a region that is cut, two lengths, one of which the sample may lack."""
+    rng = np.random.default_rng(10)
+    x = np.repeat(rng.integers(-4000, 4000, (12, 8)), 50, 0) + rng.integers(-20, 20, (600, 8))
+    x[:200] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000 + i, [int(i), 1]) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(4)
+    want = brute(range(0, 600, 20), x[::20], range(600), x)
+    for block in (64, 30):
+        monkeypatch.setattr(topk, "POINT_BLOCK", block)
+        got = {}
+        for r in topk.top_k(df, df.where("vec_id % 20 = 0")).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        assert got.pop(1000) == [(1, 1001), (1, 1002)] and got == want
