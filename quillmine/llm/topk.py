@@ -7,10 +7,10 @@ Children of one row each are kept together as the node's singles. For a query no
 among the node's queries. Bounds of all children are one matrix product. A pair whose bound equals the worst kth score is searched, so
 ties are settled by id. Scores are exact integers: doubles where every product fits them, else longs, else Python's integers.
 
-Across tasks the same rule holds one level up. Points are dealt into regions, each to the nearest of a bounded number of centres that are picked, far from one another,
-from a sample; a region too large for a task is cut into blocks by a hash. A query is first searched in its own region, which gives it a first kth
-score. Then the queries of a region, a group with a radius of its own, meet the other regions as node pairs: where the bound of group and region, or of the
-query and the region, is below the kth score, the pair is pruned, and the query is never sent there. A task sorts a block's points before the queries
+Across tasks the same rule holds one level up. Points belong to small regions, each to the nearest of a bounded number of centres that are picked, far from one another,
+from a sample; neighbouring regions make up a home of about a task's points, and a home that is too large is cut into blocks by a hash. A query is first searched in its
+own home, which gives it a first kth score. Then the queries of a region, a group with a radius of its own, meet the regions of other homes as node pairs: where the
+bound of group and region, or of the query and the region, is below the kth score, the pair is pruned; a query is sent only to homes of which a region is left. A task sorts a block's points before the queries
 that come to it: it builds the points' tree once, then searches it for one block of queries after another, so it holds one of each. All blocks' best are merged.
 """
 
@@ -28,8 +28,8 @@ from ..operators.lineage import cut
 LEAF = 64
 #: Rows of a block of queries, and of points.
 QUERY_BLOCK, POINT_BLOCK = 1024, 16_384
-#: Regions at most, and components of the sampled vectors that their centres are picked from.
-REGIONS, SAMPLE_VALUES = 4096, 1 << 21
+#: Rows of a region, regions at most, and components of the sampled vectors that their centres are picked from.
+REGION_ROWS, REGIONS, SAMPLE_VALUES = 512, 4096, 1 << 21
 #: Rows of which the distances to all others are computed at once.
 _AT_ONCE = 256
 _LOW, _HIGH = -(1 << 63), (1 << 63) - 1
@@ -293,8 +293,14 @@ def _slack(norm: np.ndarray, other: np.ndarray) -> np.ndarray:
     return 1e-6 * (norm + other) + 1e-9
 
 
-def _placed(centres: dict[int, np.ndarray]):
-    """Adds ``region``, the number of the nearest centre (-1: none), and ``far``, no less than the distance to it."""
+def homes_of(centres: np.ndarray, n: int) -> np.ndarray:
+    """For each centre the nearest of the first ``n``, which are the furthest apart."""
+    c = centres.astype(np.float64)
+    return ((c * c).sum(1)[:, None] + (c[:n] * c[:n]).sum(1) - 2 * (c @ c[:n].T)).argmin(1)
+
+
+def _placed(centres: dict[int, np.ndarray], homes: dict[int, np.ndarray]):
+    """Adds ``region``, the number of the nearest centre (-1: none), its ``home``, and ``far``, no less than the distance to the centre."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -302,7 +308,7 @@ def _placed(centres: dict[int, np.ndarray]):
                 batch = whole.slice(lo, 2048)
                 dims = batch.column(batch.schema.get_field_index("dim")).to_numpy()
                 vectors = batch.column(batch.schema.get_field_index("v"))
-                region, far = np.full(len(dims), -1, np.int32), np.zeros(len(dims))
+                region, home, far = np.full(len(dims), -1, np.int32), np.full(len(dims), -1, np.int32), np.zeros(len(dims))
                 for dim in np.unique(dims).tolist():
                     at = np.flatnonzero(dims == dim)
                     if dim in centres:
@@ -311,8 +317,9 @@ def _placed(centres: dict[int, np.ndarray]):
                         norm = np.sqrt((c * c).sum(1))
                         apart = (x * x).sum(1)[:, None] + norm**2 - 2 * (x @ c.T)
                         region[at] = apart.argmin(1)
+                        home[at] = homes[dim][region[at]]
                         far[at] = np.sqrt(np.maximum(((x - c[region[at]]) ** 2).sum(1), 0)) + _slack(np.sqrt((x * x).sum(1)), norm[region[at]])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(region), pa.array(far)], [*batch.schema.names, "region", "far"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(region), pa.array(home), pa.array(far)], [*batch.schema.names, "region", "home", "far"])
 
     return run
 
@@ -337,8 +344,8 @@ def reached(x: np.ndarray, least: np.ndarray, group: int, far: np.ndarray, centr
     return out
 
 
-def _sent(centres: dict[int, np.ndarray], radius: dict[int, np.ndarray]):
-    """Queries (columns as they are, with ``region``, ``far``, ``least``), a row for each other region that they must be searched in (``to``)."""
+def _sent(centres: dict[int, np.ndarray], homes: dict[int, np.ndarray], radius: dict[int, np.ndarray]):
+    """Queries (columns as they are, with ``region``, ``far``, ``least``), a row for each other home that they must be searched in (``to``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,7 +359,11 @@ def _sent(centres: dict[int, np.ndarray], radius: dict[int, np.ndarray]):
                     at = group[lo : lo + QUERY_BLOCK]
                     x = column["v"].take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), dim)
                     near = reached(x, column["least"].to_numpy()[at], region, column["far"].to_numpy()[at], centres[dim], radius[dim])
-                    row, to = np.nonzero(near)
+                    wanted = np.zeros((len(at), homes[dim].max() + 1), bool)
+                    pair = np.nonzero(near)
+                    wanted[pair[0], homes[dim][pair[1]]] = True
+                    wanted[:, homes[dim][region]] = False
+                    row, to = np.nonzero(wanted)
                     for part in range(0, len(row), 4096):
                         yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at[row[part : part + 4096]])) for c in batch.columns), pa.array(to[part : part + 4096].astype(np.int32))], [*batch.schema.names, "to"])
 
@@ -376,24 +387,25 @@ def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
     points, queries = side(points), side(queries)
     n_points = points.agg(F.sum("n")).first()[0] or 0
     n_queries = queries.agg(F.sum("n")).first()[0] or 0
-    regions = min(REGIONS, -(-n_points // POINT_BLOCK))
-    groups = max(1, -(-n_queries // QUERY_BLOCK))
-    centres = _centres(points, regions) if regions > 1 else {}
+    tasks, groups = -(-n_points // POINT_BLOCK), max(1, -(-n_queries // QUERY_BLOCK))
+    centres = _centres(points, min(REGIONS, -(-n_points // min(REGION_ROWS, POINT_BLOCK)))) if tasks > 1 else {}
+    homes = {dim: homes_of(c, min(tasks, len(c))) for dim, c in centres.items()}
     kinds = "id long, v array<long>, n long, dim int"
-    placed = [side_.mapInArrow(_placed(centres), f"{kinds}, region int, far double") for side_ in (points, queries)] if centres else [side_.withColumns({"region": F.lit(-1), "far": F.lit(0.0)}) for side_ in (points, queries)]
-    p, q = placed
-    # a row for each region (REGIONS and a rest at most, by length): its radius, and the blocks that it is cut into
-    found = p.groupBy("dim", "region").agg(F.max("far").alias("far"), F.sum("n").alias("n")).select("dim", "region", "far", F.ceil(F.col("n") / POINT_BLOCK).cast("int").alias("blocks"))
-    found = cut(found)
-    few = found.count() <= 1 << 18
+    if centres:
+        p, q = (rows.mapInArrow(_placed(centres, homes), f"{kinds}, region int, home int, far double") for rows in (points, queries))
+    else:
+        p, q = (rows.withColumns({"region": F.lit(-1), "home": F.lit(-1), "far": F.lit(0.0)}) for rows in (points, queries))
+    # a row for each region, REGIONS and one more for each length of vectors: how far it reaches, and how many points it has
+    found = cut(p.groupBy("dim", "home", "region").agg(F.max("far").alias("far"), F.sum("n").alias("n")))
+    sizes = found.groupBy("dim", "home").agg(F.ceil(F.sum("n") / POINT_BLOCK).cast("int").alias("blocks"))
+    sizes = F.broadcast(sizes) if found.count() <= 1 << 18 else sizes
 
     def searched(p: DataFrame, q: DataFrame) -> DataFrame:
-        """The best of each query (``region``: where it is sent, ``least``) in the blocks of its region. A block is named by region and number."""
+        """The best of each query (``home``: where it is sent, ``least``) in the blocks of a home. A block is named by home and number."""
         place = F.xxhash64("id", "v")
-        size = F.broadcast(found.select("dim", "region", "blocks")) if few else found.select("dim", "region", "blocks")
-        p = p.join(size, ["dim", "region"]).withColumns({"block": F.pmod(place, F.col("blocks")).cast("int"), "kind": F.lit(0), "qb": F.lit(0), "least": F.lit(_LOW)})
-        q = q.join(size, ["dim", "region"]).withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "kind": F.lit(1), "qb": F.pmod(place, F.lit(groups)).cast("int")})
-        rows = [side_.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select((F.col("region") * F.lit(1 << 32) + F.col("block")).alias("pb"), "dim", "kind", "qb", "id", "v", "least") for side_ in (p, q)]
+        p = p.join(sizes, ["dim", "home"]).withColumns({"block": F.pmod(place, F.col("blocks")).cast("int"), "kind": F.lit(0), "qb": F.lit(0), "least": F.lit(_LOW)})
+        q = q.join(sizes, ["dim", "home"]).withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "kind": F.lit(1), "qb": F.pmod(place, F.lit(groups)).cast("int")})
+        rows = [side_.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select((F.col("home") * F.lit(1 << 32) + F.col("block")).alias("pb"), "dim", "kind", "qb", "id", "v", "least") for side_ in (p, q)]
         cells = rows[0].unionByName(rows[1]).repartition("pb", "dim").sortWithinPartitions("pb", "dim", "kind", "qb", "id")
         return cells.mapInArrow(_search(k), "query_id long, vec_id long, score long")
 
@@ -406,8 +418,8 @@ def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
             radius[r.dim][r.region] = r.far
         place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         kth = best.withColumn("_n", place).where(F.col("_n") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
-        again = q.join(kth, "id", "left").withColumn("least", F.coalesce("least", F.lit(_LOW))).select("id", "v", "n", "dim", "region", "far", "least")
-        sent = again.repartition("dim", "region").sortWithinPartitions("dim", "region").mapInArrow(_sent(centres, radius), f"{kinds}, region int, far double, least long, to int")
-        best = best.union(searched(p, sent.withColumn("region", F.col("to"))))
+        again = q.join(kth, "id", "left").select("id", "v", "n", "dim", "region", "home", "far", F.coalesce("least", F.lit(_LOW)).alias("least"))
+        sent = again.repartition("dim", "region").sortWithinPartitions("dim", "region").mapInArrow(_sent(centres, homes, radius), f"{kinds}, region int, home int, far double, least long, to int")
+        best = best.union(searched(p, sent.withColumn("home", F.col("to"))))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
