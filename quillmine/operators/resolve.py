@@ -86,32 +86,49 @@ class _Store:
         for key in ([f"doi:{doi}"] if doi else []) + ([f"pmid:{entity['pmid']}"] if entity["pmid"] else []) + entity["title_key"]:
             self.by_key[key] = entity
 
+    def numbered(self, component: int | None) -> list[dict]:
+        return [e | {"component": component, "entity": i} for i, e in enumerate(self.entities, 1)]
 
-def resolve_greedy(records: DataFrame, order_col: str = "n") -> DataFrame:
-    """The entities that adding ``records`` in the order of ``order_col`` gives, with the store's merge policy.
 
-    Columns missing from ``records`` count as empty. A component is one task's work, but not its memory: records stream by.
-    """
-    texts = ["title", *FIELDS, "source_database", "discovery_route", "discovery_query", "review_seed_doi", "processing_status", "notes"]
-    every = records.select(order_col, *(ids.text(F.col(c) if c in records.columns else F.lit("")).alias(c) for c in texts), *((F.coalesce(F.col(c), F.lit(False)) if c in records.columns else F.lit(False)).alias(c) for c in ("is_review", "full_text_available")))
-    every = with_keys(every).withColumn("paper_id", ids.paper_id(F.col("doi"), F.col("pmid"), F.col("title")))
-    every = every.join(record_components(every, order_col), order_col)
-    schema = _ENTITY
+#: Text columns of a record that an entity is made of.
+RECORD_TEXTS = ("title", *FIELDS, "source_database", "discovery_route", "discovery_query", "review_seed_doi", "processing_status", "notes")
+RECORD_FLAGS = ("is_review", "full_text_available")
+
+
+def filled_records(records: DataFrame, order_col: str) -> DataFrame:
+    """Records with all columns that the fold reads: missing and null ones empty or false, with ``keys`` and ``paper_id``."""
+    texts = [ids.text(F.col(c) if c in records.columns else F.lit("")).alias(c) for c in RECORD_TEXTS]
+    flags = [(F.coalesce(F.col(c), F.lit(False)) if c in records.columns else F.lit(False)).alias(c) for c in RECORD_FLAGS]
+    return with_keys(records.select(order_col, *texts, *flags)).withColumn("paper_id", ids.paper_id(F.col("doi"), F.col("pmid"), F.col("title")))
+
+
+def fold(every: DataFrame, order_col: str) -> DataFrame:
+    """Entities, with ``component`` and their number in it (``entity``, from 1), of :func:`filled_records` that know their ``component``."""
+    schema = T.StructType([T.StructField("component", T.LongType()), T.StructField("entity", T.IntegerType()), *_ENTITY.fields])
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, component = _Store(), None
         for batch in batches:
             done: list[dict] = []
             for record in batch.to_dict("records"):
                 if record["component"] != component:
-                    done += store.entities
+                    done += store.numbered(component)
                     store, component = _Store(), record["component"]
                 store.add(record)
             yield _rows(done, schema.names)
-        yield _rows(store.entities, schema.names)
+        yield _rows(store.numbered(component), schema.names)
 
     together = every.repartition("component").sortWithinPartitions("component", order_col)
-    return together.mapInPandas(fold, schema)
+    return together.mapInPandas(run, schema)
+
+
+def resolve_greedy(records: DataFrame, order_col: str = "n") -> DataFrame:
+    """The entities that adding ``records`` in the order of ``order_col`` gives, with the store's merge policy.
+
+    Columns missing from ``records`` count as empty. A component is one task's work, but not its memory: records stream by.
+    """
+    every = filled_records(records, order_col)
+    return fold(every.join(record_components(every, order_col), order_col), order_col).select(*_ENTITY.names)
 
 
 def _rows(entities: list[dict], names: list[str]) -> pd.DataFrame:

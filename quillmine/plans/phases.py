@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,30 +46,35 @@ class Store:
         return self.table(name, schema).read()
 
 
-def _upsert(store: Store, new: DataFrame) -> None:
-    """Merge papers into those of the store; rows of other papers are not written."""
+def _upsert(store: Store, new: DataFrame) -> dict[str, int]:
+    """Merge papers into those of the store; rows of other papers are not written. How many were new and enriched, counted by the write."""
     new = cut(new.select(*((F.col(f.name) if f.name in new.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in PAPERS.fields)))
     keys = new.select("paper_id").distinct()
 
     def change(papers: DataFrame) -> tuple[DataFrame, None]:
         touched = papers.join(keys, "paper_id", "left_semi")
-        return state.upsert(touched, new, "paper_id", sets=discovery.PAPER_SETS, monotone="processing_status"), None
+        merged = state.upsert(touched, new, "paper_id", sets=discovery.PAPER_SETS, monotone="processing_status")
+        marked = merged.join(touched.select("paper_id", F.lit(1).alias("_known")), "paper_id", "left")
+        seen.append(Observation())  # a change that is made anew is counted anew
+        return marked.observe(seen[-1], F.count_if(F.col("_known").isNull()).alias("new"), F.count_if(F.col("_known").isNotNull()).alias("enriched")).drop("_known"), None
 
+    seen: list[Observation] = []
     store.table("papers", PAPERS).commit(change)
+    return seen[-1].get
 
 
-def search(store: Store, inputs: Inputs) -> None:
-    _upsert(store, discovery.hits_to_papers(inputs.records, inputs.hits))
+def search(store: Store, inputs: Inputs) -> dict[str, int]:
+    return _upsert(store, discovery.hits_to_papers(inputs.records, inputs.hits))
 
 
-def citations(store: Store, inputs: Inputs, depth: int = 1, max_seeds: int | None = None) -> None:
+def citations(store: Store, inputs: Inputs, depth: int = 1, max_seeds: int | None = None) -> dict[str, int]:
     """Papers within ``depth`` steps of the seeds come in, tagged with the papers and edge labels that led to them."""
     papers = store.read("papers", PAPERS)
     seeds = graph.outcome_seeds(papers, store.read("attempts", ATTEMPTS))
     reached = graph.breadth_first(inputs.edges, seeds, depth, max_seeds)
     near = inputs.edges.join(reached.where(F.col("hop") < depth).select(F.col("node").alias("src")), "src", "left_semi")
     hits = near.select(F.col("dst").alias("pmid"), F.col("label").alias("source"), F.concat_ws(":", "label", "src").alias("query"), F.col("src").alias("seed"))
-    _upsert(store, discovery.hits_to_papers(inputs.records, hits))
+    return _upsert(store, discovery.hits_to_papers(inputs.records, hits))
 
 
 def screen(store: Store, inputs: Inputs) -> None:

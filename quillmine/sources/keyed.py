@@ -19,7 +19,7 @@ from collections.abc import Callable
 from urllib.parse import unquote, urlsplit
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -174,14 +174,14 @@ class KeyedTable:
     def _check(self, manifest: dict, name: str) -> None:
         """Keys of a delta are there once; what it brings to a unique column is nowhere else in the table as it would be."""
         delta = self._part(name, T.StructType([*self.schema.fields, T.StructField("_gone", T.BooleanType())]))
-        twice = delta.groupBy(self.key).agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
+        twice = delta.groupBy(self.key).agg(F.count("*").alias("_times")).where("_times > 1").limit(1).collect()
         if twice:
             raise NotUnique(f"{self.key} {twice[0][0]!r} is changed twice")
         after = self._rows(manifest | {"deltas": [*manifest["deltas"], name]}) if self.unique else None
         for column in self.unique:
             said = F.col(column).isNotNull() & (F.col(column).cast("string") != "")
             brought = delta.where(~F.col("_gone") & said).select(column).distinct()
-            twice = after.where(said).join(brought, column, "left_semi").groupBy(column).agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
+            twice = after.where(said).join(brought, column, "left_semi").groupBy(column).agg(F.count("*").alias("_times")).where("_times > 1").limit(1).collect()
             if twice:
                 raise NotUnique(f"{column} {twice[0][0]!r} would be that of {twice[0][1]} rows")
 
@@ -215,6 +215,15 @@ class KeyedTable:
         """Rows in place of those with their keys, whatever these hold, and keys to remove."""
         return self.commit(lambda _: (upserts, removed), token)
 
+    def rewrite(self, column: str, to: Callable[[Column], Column], token: str | None = None) -> int:
+        """Put ``to`` of a column in its place wherever that changes it (P20); the other rows are not written. The last version's number."""
+
+        def change(rows: DataFrame) -> tuple[DataFrame, None]:
+            new = rows.withColumn("_new", to(F.col(column))).where(~F.col("_new").eqNullSafe(F.col(column)))
+            return new.withColumn(column, F.col("_new")).drop("_new"), None
+
+        return self.commit(change, token)
+
     def compact(self) -> bool:
         """Fold the deltas into a new base; False if another writer was faster (the table is as good as before). Older versions than KEPT go."""
         number, manifest = self._last()

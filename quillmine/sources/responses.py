@@ -156,3 +156,14 @@ def pages_of(ids_table: DataFrame, id_col: str, order_col: str, size: int = 200)
     numbered = counted.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy("o", "id")) - 1)
     paged = numbered.withColumn("page", F.floor(F.col("n") / size))
     return paged.groupBy("bucket", "page").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.concat_ws("-", "bucket", "page").alias("page"), "ids")
+
+
+def link_edges(answers: DataFrame, body_col: str = "body") -> DataFrame:
+    """``src, dst, label`` of link answers (JSON): a row for each id that an answer names, with the columns ``src`` and ``label`` of what was asked.
+
+    An answer that is missing or can't be read has no edge; ids may come as numbers or as text; an id that is named twice counts once.
+    """
+    shape = "struct<linksets:array<struct<linksetdbs:array<struct<links:array<string>>>>>>"
+    sets = F.from_json(body_col, shape)["linksets"]
+    named = F.flatten(F.transform(F.flatten(F.transform(F.filter(sets, lambda s: s["linksetdbs"].isNotNull()), lambda s: s["linksetdbs"])), lambda d: F.coalesce(d["links"], F.array().cast("array<string>"))))
+    return answers.select("src", F.explode(F.array_distinct(F.filter(named, lambda x: x.isNotNull()))).alias("dst"), "label")
