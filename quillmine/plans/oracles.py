@@ -229,3 +229,9 @@ _BLANKS = ", ".join(f"'' AS {c}" for c in ("genus", "species", "strain", "techni
 ORACLES["attempts_stub"] = f"""WITH {_REPLY},
 each AS (SELECT conv_id || '-' || turn AS paper_id, role, unnest(range(1, CASE WHEN kind < 3 THEN 3 WHEN kind = 4 THEN 2 ELSE 1 END)) AS i FROM r WHERE coalesce(role, '') <> '')
 SELECT paper_id || '-ATT0' || i AS attempt_id, paper_id, role AS organism_name_raw, {_BLANKS}, 'unclear' AS wild_type_status, 'unclear' AS outcome, false AS needs_review FROM each"""
+ORACLES["dedup_batches"] = f"SELECT component, n_records FROM ({ORACLES['dedup_components']})"
+ORACLES["link_edges"] = "SELECT DISTINCT l_orderkey AS src, l_partkey::VARCHAR AS dst, 'reference' AS label FROM lineitem"
+ORACLES["cache_warmer"] = """WITH l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id)
+SELECT d.doc_id AS paper_id, l.doc_id IS NOT NULL AND coalesce(text, '') <> '' AS has_abstract,
+  CASE WHEN l.doc_id IS NULL THEN 'no_record' WHEN quality = 1 AND toxic = 0 THEN 'article' WHEN d.doc_id % 2 = 0 THEN 'pdf' ELSE 'abstract' END AS outcome
+FROM documents d LEFT JOIN l ON d.doc_id = l.doc_id"""

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import ids, lexicon, markup, replies, scoring, text, vocabulary
-from ..operators import chat, discovery, evidence, graph, lineage, match, positions, reports, resolve, sampling, selection, spans, state, tagging
-from ..sources import crawl, keyed, paging, responses
+from ..operators import chat, discovery, evidence, graph, growing, lineage, match, positions, reports, resolve, sampling, selection, spans, state, tagging
+from ..sources import crawl, keyed, paging, responses, warming
 from ..streaming import ingest
 from . import shapes
 from .shapes import LEXICON, PATTERNS, PHRASES, table
@@ -182,6 +182,17 @@ def dedup_greedy(spark, sf_dir):
     return resolve.resolve_greedy(rows).withColumn("discovery_route", _bar("discovery_route"))
 
 
+@query
+def dedup_batches(spark, sf_dir):
+    """Components of a store that the documents' records come to in three batches."""
+    records = shapes.papers(spark, sf_dir).select("n", "title", "doi", "pmid")
+    store = growing.GrowingStore(spark, _shared_folder(spark, "growing"))
+    bounds = records.agg(F.max("n")).first()[0] or 0
+    for i in range(3):
+        store.add(records.where((F.col("n") > bounds * i // 3 - (i == 0)) & (F.col("n") <= bounds * (i + 1) // 3)), f"batch {i}")
+    return store.records.read().groupBy(F.col("root").alias("component")).agg(F.count("*").alias("n_records"))
+
+
 def _event_papers(spark, sf_dir) -> DataFrame:
     url = F.get_json_object("props", "$.k")
     return table(spark, sf_dir, "events").select(F.col("user_id").alias("paper_id"), F.when(F.col("event_id") % 3 == 0, "").otherwise(url).alias("title"), F.array("event_type").alias("discovery_sources"), F.when(F.col("event_type") == "error", "discovered").when(F.col("event_type") == "signup", "extraction_complete").otherwise("metadata_fetched").alias("processing_status"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("first_seen_at"), "event_id")
@@ -474,6 +485,34 @@ def id_pages(spark, sf_dir):
     return found.select("page", F.size("values").alias("n"), F.element_at("values", 1).alias("first"), F.md5(F.array_join("values", ",")).alias("ids_md5"))
 
 
+@query
+def cache_warmer(spark, sf_dir):
+    """Every document is a paper that is looked up; what answers is recorded for the labelled ones."""
+    docs, labels = _docs(spark, sf_dir), table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    named = docs.join(labels, "doc_id").select("quality", "toxic", "text", (F.col("doc_id") % 2 == 0).alias("open"), F.col("doc_id").cast("string").alias("i"))
+    record = F.struct(F.lit("T").alias("title"), F.col("text").alias("abstractText"), F.when(F.col("quality") == 1, "Y").otherwise("N").alias("isOpenAccess"), F.concat(F.lit("PMC"), "i").alias("pmcid"), F.concat(F.lit("10.1/"), "i").alias("doi"))
+    pdf = F.concat(F.lit("https://p/"), "i")
+    resolved = F.to_json(F.struct(F.struct(F.col("open").alias("is_oa"), pdf.alias("pdf_url")).alias("best_oa_location")))
+    lookups = named.select(ids.lookup_url("https://l", F.lit(""), F.col("i"), F.lit("")).alias("url"), F.to_json(F.struct(F.struct(F.array(record).alias("result")).alias("resultList"))).alias("body"))
+    answers = {
+        "json": lookups.union(named.select(F.concat(F.lit("https://r/works/https://doi.org/10.1/"), "i"), resolved)),
+        "text": named.where("toxic = 0").select(paging.full_text_url("https://a", F.concat(F.lit("PMC"), "i")).alias("url"), F.lit("<article/>").alias("body")),
+        "binary": named.select(pdf.alias("url"), F.encode(F.lit("%PDF"), "UTF-8").alias("body")),
+    }
+    fetch = lambda urls, kind: answers[kind].join(urls, "url").select(ids.url_key(F.col("url")).alias("url_sha256"), "url", F.lit(kind).alias("kind"), "body")
+    nothing = [spark.createDataFrame([], f"url_sha256 string, url string, kind string, body {kind}") for kind in ("string", "binary")]
+    batch = docs.select("doc_id", F.col("doc_id").alias("paper_id"), F.lit("").alias("doi"), F.col("doc_id").cast("string").alias("pmid"), F.lit("").alias("title"))
+    return warming.warm(batch, *nothing, fetch, "https://l", "https://a", "https://r")[0]
+
+
+@query
+def link_edges(spark, sf_dir):
+    """Answers that list the parts of each order."""
+    links = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("links"))
+    body = F.to_json(F.struct(F.array(F.struct(F.array(F.struct("links")).alias("linksetdbs"))).alias("linksets")))
+    return responses.link_edges(links.select(F.col("l_orderkey").alias("src"), F.lit("reference").alias("label"), body.alias("body")))
+
+
 @query
 def catalogue_summary(spark, sf_dir):
     """A summary for each part: its type as organism, its name as strain."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import ids, markup, scoring
+from ..operators.positions import pages
 
 # Seconds between calls to a host, tries, seconds of waiting after the nth failure (times n).
 PACE_S = {"default": 0.2, "eutils": 0.34, "eutils_with_key": 0.11}
@@ -145,17 +146,9 @@ def passages(documents: DataFrame, id_col: str = "paper_id", body_col: str = "bo
 
 
 def pages_of(ids_table: DataFrame, id_col: str, order_col: str, size: int = 200) -> DataFrame:
-    """``page, ids``: ids in pages of at most ``size`` for batched calls, in 256 buckets by a hash of the id, in their order within a bucket.
-
-    No task numbers all ids; the price is one short page a bucket.
-    """
-    hashed = ids_table.select(F.col(id_col).cast("string").alias("id"), F.col(order_col).alias("o"))
-    counted = hashed.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(256)))
-    from pyspark.sql import Window
-
-    numbered = counted.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy("o", "id")) - 1)
-    paged = numbered.withColumn("page", F.floor(F.col("n") / size))
-    return paged.groupBy("bucket", "page").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.concat_ws("-", "bucket", "page").alias("page"), "ids")
+    """``page, ids``: ids in pages of ``size`` for batched calls, in their order; every page is full but the last."""
+    rows = ids_table.select(F.col(id_col).cast("string").alias("id"), F.col(order_col).alias("o"))
+    return pages(rows, "id", size, ["o", "id"]).select("page", F.col("values").alias("ids"))
 
 
 def link_edges(answers: DataFrame, body_col: str = "body") -> DataFrame:
