@@ -8,7 +8,8 @@
 3. Check: the similarities in a group are exact, from the whole sets, which are shuffled once. A search from each class compares it with all
    classes that no search has reached, so a group of copies costs about one comparison a member. A large group is cut into
    chunks of bounded size with some of its members (LEADERS) in each; the components that this gives hold most of it. Those outside the largest are
-   then compared with all others, chunk by chunk, so no link is lost and no task holds a whole large group.
+   then compared with all others, chunk by chunk, so no link is lost and no task holds a whole large group. Where so many are outside (a group that
+   boilerplate holds together) that this would copy a member more than FEW times, they meet the others by band instead: whoever is similar shares one.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ LEAST = (4, 5)
 BANDS, ROWS, RADIUS = 25, 5, 22
 #: Members of a bucket that are compared; members, shingles of a chunk; members that stand in every chunk of a large group.
 BUCKET, CHUNK, CHUNK_SHINGLES, LEADERS = 2048, 1024, 1 << 20, 8
+#: Chunks of members outside a large group's main component, beyond which they meet the others by band: as many copies as a member has bands.
+FEW = BANDS
 #: Classes whose texts are asked for by a broadcast; 16 bytes each. More are joined by a shuffle.
 BROADCAST_ROWS = 1 << 19
 _FACTORS = np.random.default_rng(5).integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
@@ -204,7 +207,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     big = rows.where("chunks > 1")
     if not big.isEmpty():
         links = cut(links)
-        links = links.union(_rest(big, components(links)))
+        links = links.union(_rest(big, components(links), classes.select("same", "bands")))
     roots = components(links)
     for done in (members, rows):
         discard(done)
@@ -220,15 +223,34 @@ def _led(rows: DataFrame) -> DataFrame:
     )
 
 
-def _rest(big: DataFrame, roots: DataFrame) -> DataFrame:
-    """Links that the chunks of large groups lack: those of the members outside a group's largest component, to all members."""
-    named = cut(big.join(roots, big["same"] == roots["node"], "left").select(big["root"], "same", "chunks", "found", F.coalesce(roots["root"], "same").alias("part")))
+def _rest(big: DataFrame, roots: DataFrame, bands_of: DataFrame) -> DataFrame:
+    """Links that the chunks of large groups lack: those of the members outside a group's largest component, to all members.
+
+    A few chunks of such members are compared with all chunks of the group. Of more, each meets the members of its bands alone (``bands_of``:
+    same, bands), which no similar one is missing from but with the chance that the candidates have; a band of many members is cut into chunks too.
+    """
+    named = big.join(roots, big["same"] == roots["node"], "left").select(big["root"], "same", "chunks", "found", F.coalesce(roots["root"], "same").alias("part"))
     parts = named.groupBy("root", "part").agg(F.count("*").alias("n"))
     main = parts.groupBy("root").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
-    outside = named.join(main, "root").where("part <> main")
-    counts = outside.groupBy("root").agg(_chunks(F.count("*"), F.sum(F.octet_length("found") / 8)).alias("rests"))
-    a = outside.join(counts, "root").select("root", _number(F.col("same"), F.col("rests"), 4).alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), "same", "found")
-    b = named.join(counts, "root").select("root", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("i"), _number(F.col("same"), F.col("chunks"), 1).alias("j"), "same", "found")
+    named = cut(named.join(main, "root").select("root", "same", "chunks", "found", (F.col("part") != F.col("main")).alias("outside")))
+    counts = cut(named.where("outside").groupBy("root").agg(_chunks(F.count("*"), F.sum(F.octet_length("found") / 8)).alias("rests")))
+    few, many = counts.where(F.col("rests") <= FEW), counts.where(F.col("rests") > FEW)
+    links = _crossed(named.join(few, "root"), ["root"])
+    if not many.isEmpty():
+        dealt = named.join(many.select("root"), "root").join(bands_of, "same").select("root", F.explode("bands").alias("band"), "same", "outside", F.octet_length("found").alias("size"))
+        cells = dealt.groupBy("root", "band").agg(F.count("*").alias("n"), _chunks(F.count("*"), F.sum(F.col("size") / 8)).alias("chunks"), _chunks(F.count_if("outside"), F.sum(F.when(F.col("outside"), F.col("size")).otherwise(0) / 8)).alias("rests"), F.max("outside").alias("any"))
+        cells = cells.where("any AND n > 1").select("root", "band", "chunks", "rests")
+        within = dealt.select("root", "band", "same", "outside").join(cells, ["root", "band"]).join(named.select("root", "same", "found"), ["root", "same"])
+        links = links.union(_crossed(within, ["root", "band"]))
+    return links
+
+
+def _crossed(rows: DataFrame, cell: list[str]) -> DataFrame:
+    """Links between the ``outside`` rows of each cell, in ``rests`` chunks, and all its rows, in ``chunks``."""
+    place = F.xxhash64(*cell) if len(cell) > 1 else F.col(cell[0])  # cells that share a number are compared together, which does no harm
+    i, j = _number(F.col("same"), F.col("rests"), 4), _number(F.col("same"), F.col("chunks"), 1)
+    a = rows.where("outside").select(place.alias("root"), i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), "same", "found")
+    b = rows.select(place.alias("root"), F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("i"), j.alias("j"), "same", "found")
     return _celled(a.union(b), _set_links)
 
 

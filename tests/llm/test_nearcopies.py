@@ -86,8 +86,8 @@ def test_large_groups_in_chunks(spark, monkeypatch):
     sets = {i: brute_shingles(t) for i, t in enumerate(texts)}
     root = brute_roots(sets, brute_pairs(sets))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    for chunk, bucket, leaders in ((1024, 2048, 8), (16, 8, 2), (16, 2048, 1)):
-        for name, value in (("CHUNK", chunk), ("BUCKET", bucket), ("LEADERS", leaders), ("BROADCAST_ROWS", chunk)):
+    for chunk, bucket, leaders, few in ((1024, 2048, 8, 25), (16, 8, 2, 25), (16, 2048, 1, 25), (16, 8, 2, 0), (16, 2048, 1, 0)):  # 0: by band
+        for name, value in (("CHUNK", chunk), ("BUCKET", bucket), ("LEADERS", leaders), ("BROADCAST_ROWS", chunk), ("FEW", few)):
             monkeypatch.setattr(nearcopies, name, value)
         got = {r.doc_id: r.component for r in nearcopies.near_copies(df).collect()}
         assert len(set(zip(got.values(), (root[i] for i in got)))) == len(set(root.values())) == len(set(got.values()))
