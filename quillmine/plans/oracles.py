@@ -21,7 +21,7 @@ firsts AS (SELECT * FROM tags QUALIFY row_number() OVER (PARTITION BY doc_id, ca
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id, category ORDER BY pos) AS INTEGER) AS rank FROM firsts)"""
 _NORM = r"trim(regexp_replace(regexp_replace(lower({}), '<[^>]+>', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
 _PAPERS = """
-papers AS (SELECT doc_id, source, lang, left(coalesce(text, ''), 120) AS title, coalesce(text, '') AS abstract,
+papers AS (SELECT doc_id, source, lang, regexp_extract(coalesce(text, ''), '^[^\\n]*') AS title, coalesce(text, '') AS abstract,
   CASE WHEN doc_id % 3 = 0 THEN '' ELSE '10.5555/' || left(md5(coalesce(text, '')), 10) END AS doi, (doc_id % 40 + 1985)::VARCHAR AS year FROM documents)"""
 _ATTEMPTS = """
 attempts AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS attempt_id, l_orderkey AS paper_id, l_partkey::VARCHAR AS strain, p_brand AS species,
@@ -67,7 +67,7 @@ SELECT doc_id, len(s)::INTEGER AS n_sentences_total, coalesce(tagged, 0)::INTEGE
   coalesce(n_manipulation > 0 AND (n_success > 0 OR n_failure > 0 OR n_strain > 0), false) AS has_signal
 FROM cut LEFT JOIN per USING (doc_id) LEFT JOIN cat USING (doc_id)"""
 ORACLES["accession_extract"] = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind, unnest(list_distinct(regexp_extract_all(text, '{rx}'))) AS value FROM documents" for k, rx in shapes.PATTERNS.items())
-ORACLES["title_normalize"] = f"SELECT doc_id, {_NORM.format('left(coalesce(text, $$$$), 120)')} AS title_norm FROM documents"
+ORACLES["title_normalize"] = f"SELECT doc_id, {_NORM.format('coalesce(text, $$$$)')} AS title_norm FROM documents"
 ORACLES["paper_id"] = f"""WITH {_PAPERS} SELECT doc_id, doi AS doi_norm, CASE WHEN doi <> '' THEN 'P' || substr(sha1('doi:' || doi), 1, 12)
   WHEN {_NORM.format('title')} <> '' THEN 'P' || substr(sha1('title:' || {_NORM.format('title')}), 1, 12) ELSE 'P' || substr(sha1('title:' || title), 1, 12) END AS id_v1,
   'PV2' || substr(sha1('pmid:' || doc_id), 1, 12) AS id_v2, doc_id || '-OBS' || lpad((doc_id % 30 + 1)::VARCHAR, 2, '0') AS obs_id FROM papers"""
@@ -144,7 +144,7 @@ ORACLES["stratified_head"] = f"""WITH {_ATTEMPTS} SELECT attempt_id, outcome, CA
 QUALIFY place <= CASE outcome WHEN 'failure' THEN 3 WHEN 'success' THEN 4 ELSE 2 END"""
 ORACLES["catalog_match"] = """WITH obs AS (SELECT p_partkey AS observation_id, CASE WHEN p_partkey % 9 = 0 THEN p_brand WHEN p_partkey % 8 = 0 THEN 'No such' ELSE p_brand || ' ' || p_type END AS binomial,
     CASE WHEN p_partkey % 7 = 0 THEN 'unknown' ELSE lower(p_name || ' ' || p_size) END AS token, p_partkey % 7 <> 0 AS ok FROM part),
-cat AS (SELECT p_partkey AS rank, 'GCF_' || p_partkey AS accession, p_brand || ' ' || p_type AS b, lower(concat_ws(' ', p_brand, p_type, p_name, p_size)) AS m FROM part WHERE p_partkey % 20 > 0),
+cat AS (SELECT p_partkey AS rank, 'GCF_' || p_partkey AS accession, p_brand || ' ' || p_type AS b, lower(concat_ws(' ', p_brand, p_type, p_name, p_size)) AS m FROM part),
 j AS (SELECT observation_id, binomial, token, count(accession) AS n, count(*) FILTER (ok AND contains(m, token)) AS h, arg_min(accession, rank) AS f, arg_min(accession, rank) FILTER (ok AND contains(m, token)) AS fh
   FROM obs LEFT JOIN cat ON b = binomial GROUP BY 1, 2, 3)
 SELECT observation_id, binomial, token AS strain_token, CASE WHEN NOT contains(binomial, ' ') THEN 'not_checked' WHEN n = 0 THEN 'no_genome_found' WHEN h = 1 THEN 'exact_strain_match'

@@ -62,7 +62,7 @@ def accession_extract(spark, sf_dir):
 
 @query
 def title_normalize(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", ids.normalize_title(shapes.title()).alias("title_norm"))
+    return _docs(spark, sf_dir).select("doc_id", ids.normalize_title(F.col("text")).alias("title_norm"))
 
 
 @query
@@ -316,7 +316,7 @@ def stable_sample(spark, sf_dir):
 @query
 def catalog_match(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    catalog = part.where("p_partkey % 20 > 0").select(F.concat(F.lit("GCF_"), F.col("p_partkey").cast("string")).alias("accession"), F.concat_ws(" ", "p_brand", "p_type", F.lit("sp.")).alias("organism"), F.concat_ws(" ", "p_brand", "p_type", "p_name", "p_size").alias("match_text"), F.col("p_partkey").alias("rank"))
+    catalog = part.select(F.concat(F.lit("GCF_"), F.col("p_partkey").cast("string")).alias("accession"), F.concat_ws(" ", "p_brand", "p_type", F.lit("sp.")).alias("organism"), F.concat_ws(" ", "p_brand", "p_type", "p_name", "p_size").alias("match_text"), F.col("p_partkey").alias("rank"))
     name = F.when(F.col("p_partkey") % 9 == 0, F.col("p_brand")).when(F.col("p_partkey") % 8 == 0, "No such").otherwise(F.concat_ws(" ", "p_brand", "p_type", F.lit("and others")))
     strain = F.when(F.col("p_partkey") % 7 == 0, "unknown").otherwise(F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"), F.lit(" (T)")))
     return match.catalog_match(part.select(F.col("p_partkey").alias("observation_id"), name.alias("organism_name"), strain.alias("strain_name")), catalog)

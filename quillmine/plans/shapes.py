@@ -22,7 +22,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title(text: str = "text"):
-    return F.left(F.coalesce(F.col(text), F.lit("")), F.lit(120))
+    """The first line, whole."""
+    return F.regexp_extract(F.coalesce(F.col(text), F.lit("")), r"^[^\n]*", 0)
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
