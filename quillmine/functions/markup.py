@@ -1,15 +1,22 @@
-"""Bibliographic XML (P2, F35-F38, J15). One document at a time in pandas UDFs; malformed documents give nothing."""
+"""Bibliographic XML (P2, F35-F38, J15), read element by element: a record, a reference or a table is held at a time. Malformed documents give nothing.
+
+As columns (pandas UDFs that give arrays) and as table functions, for lateral joins and SQL (:func:`register`).
+"""
 
 from __future__ import annotations
 
 import re
 import urllib.parse
 import xml.etree.ElementTree as ET
+from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import each_paragraph, events
+
 _STRING = T.StringType()
 RECORD_FIELDS = ("pmid", "doi", "pmcid", "title", "abstract", "journal", "year", "authors")
 RECORD = T.StructType([*(T.StructField(n, _STRING) for n in RECORD_FIELDS), T.StructField("pub_types", T.ArrayType(_STRING))])
@@ -22,11 +29,22 @@ def words(node: ET.Element | None) -> str:
     return "" if node is None else " ".join("".join(node.itertext()).split())
 
 
-def parsed(document: str | None) -> ET.Element | None:
-    try:
-        return ET.fromstring(document or "")
-    except ET.ParseError:
-        return None
+def elements(document: str, tag: str) -> Iterator[ET.Element]:
+    """The outermost elements of a tag, whole, one after another; all else is dropped as it is read. ParseError where the document breaks."""
+    open_: list[ET.Element] = []
+    inside = 0
+    for event, node in events(document):
+        if event == "start":
+            open_.append(node)
+            inside += node.tag == tag
+            continue
+        open_.pop()
+        inside -= node.tag == tag
+        if not inside:
+            if node.tag == tag:
+                yield node
+            if open_:
+                open_[-1].remove(node)
 
 
 def _link(node: ET.Element) -> str:
@@ -35,8 +53,10 @@ def _link(node: ET.Element) -> str:
 
 def pubmed_records(document: str | None) -> list[dict]:
     """Flat records of a PubMed answer: labelled abstract parts, Year or the first word of MedlineDate, ``Last First`` authors."""
-    root = parsed(document)
-    return [] if root is None else [_record(a) for a in root.iter("PubmedArticle")]
+    try:
+        return [_record(a) for found in elements(document or "", "PubmedArticle") for a in found.iter("PubmedArticle")]
+    except ET.ParseError:
+        return []
 
 
 def _record(article: ET.Element) -> dict:
@@ -71,24 +91,34 @@ def _reference(ref: ET.Element) -> dict[str, str]:
     return {"cited_doi": found["doi"], "cited_pmid": found["pmid"], "cited_title": title, "cited_year": words(ref.find(".//year")), "cited_source": source}
 
 
+def each_citation(document: str | None) -> Iterator[dict]:
+    """A record for each reference that a table row cites, of rows that cite any known one.
+
+    Two readings, as references stand after the tables: one for them, one for the tables.
+    """
+    try:
+        references = {r.get("id"): _reference(r) for found in elements(document or "", "ref") for r in found.iter("ref") if r.get("id")}
+    except ET.ParseError:
+        return
+    for found in elements(document or "", "table-wrap"):
+        for table in found.iter("table-wrap"):
+            yield from _table_rows(table, references)
+
+
 def cited_rows(document: str | None) -> list[dict]:
-    """A record for each reference that a table row cites, of rows that cite any known one."""
-    root = parsed(document)
-    if root is None:
-        return []
-    references = {r.get("id"): _reference(r) for r in root.iter("ref") if r.get("id")}
-    out = []
-    for table in root.iter("table-wrap"):
-        head = {"table_label": words(table.find("label")), "table_caption": words(table.find("caption"))}
-        for i, row in enumerate(table.iter("tr")):
-            cells = [*row.findall("td"), *row.findall("th")]
-            italic = (" ".join(filter(None, map(words, c.iter("italic")))) for c in cells)
-            shared = {"row_index": i, "row_text": " | ".join(map(words, cells)), "organism_guess": next(filter(None, italic), "")}
-            for mark in row.iter("xref") if cells else ():
-                ref = references.get(mark.get("rid")) if mark.get("ref-type") == "bibr" else None
-                if ref and (ref["cited_doi"] or ref["cited_pmid"] or ref["cited_title"]):
-                    out.append(head | shared | ref)
-    return out
+    return list(each_citation(document))
+
+
+def _table_rows(table: ET.Element, references: dict[str, dict]) -> Iterator[dict]:
+    head = {"table_label": words(table.find("label")), "table_caption": words(table.find("caption"))}
+    for i, row in enumerate(table.iter("tr")):
+        cells = [*row.findall("td"), *row.findall("th")]
+        italic = (" ".join(filter(None, map(words, c.iter("italic")))) for c in cells)
+        shared = {"row_index": i, "row_text": " | ".join(map(words, cells)), "organism_guess": next(filter(None, italic), "")}
+        for mark in row.iter("xref") if cells else ():
+            ref = references.get(mark.get("rid")) if mark.get("ref-type") == "bibr" else None
+            if ref and (ref["cited_doi"] or ref["cited_pmid"] or ref["cited_title"]):
+                yield head | shared | ref
 
 
 @F.pandas_udf(T.ArrayType(RECORD))
@@ -99,3 +129,26 @@ def records(document: pd.Series) -> pd.Series:
 @F.pandas_udf(T.ArrayType(CITED))
 def citations(document: pd.Series) -> pd.Series:
     return document.map(cited_rows)
+
+
+@F.udtf(returnType="section string, paragraph int, text string")
+class ArticleParagraphs:
+    """Rows of an article's paragraphs."""
+
+    def eval(self, document: str):
+        yield from each_paragraph(document)
+
+
+@F.udtf(returnType=CITED)
+class Citations:
+    """Rows of what an article's tables cite."""
+
+    def eval(self, document: str):
+        for row in each_citation(document):
+            yield tuple(row[f] for f in CITED.names)
+
+
+def register(spark: SparkSession) -> None:
+    """Make the table functions ``article_paragraphs`` and ``table_citations`` known to SQL."""
+    spark.udtf.register("article_paragraphs", ArticleParagraphs)
+    spark.udtf.register("table_citations", Citations)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import xml.etree.ElementTree as ET
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -60,6 +61,20 @@ def plain_sentences(col: Column, section: str = "") -> Column:
 _SKIPPED = {"table-wrap", "fig", "disp-formula", "supplementary-material"}
 
 
+#: Characters of a document that the parser is given at once.
+_FED = 1 << 16
+
+
+def events(document: str) -> Iterator[tuple[str, ET.Element]]:
+    """The starts and ends of a document's elements, as it is read; ParseError where it breaks."""
+    parser = ET.XMLPullParser(("start", "end"))
+    for lo in range(0, len(document), _FED):
+        parser.feed(document[lo : lo + _FED])
+        yield from parser.read_events()
+    parser.close()
+    yield from parser.read_events()
+
+
 def _content(node: ET.Element) -> str:
     return " ".join("".join(node.itertext()).split())
 
@@ -68,26 +83,62 @@ def _tag(node: ET.Element) -> str:
     return node.tag.rsplit("}", 1)[-1] if isinstance(node.tag, str) else ""
 
 
-def body_paragraphs(document: str | None) -> list[tuple[str, int, str]]:
-    """(section title, paragraph number, text) of an article's body in document order; nothing if it can't be parsed."""
+def _walked(document: str) -> Iterator[tuple[str, tuple, str]]:
+    """('title', chain, text) and ('p', chain, text) of an article's first body, in document order; a chain holds the numbers of the sections around, innermost first.
+
+    Elements are dropped as soon as they end, so a paragraph or title is held at a time.
+    """
+    modes: list[tuple[str, str, tuple]] = []  # of the open elements: how they are read, their tag, their chain
+    open_: list[ET.Element] = []
+    sections, bodies, titled = 0, 0, set()
+    for event, node in events(document):
+        tag = _tag(node)
+        if event == "start":
+            mode, parent, chain = modes[-1] if modes else ("out", "", ())
+            if mode == "out":
+                mode = "body" if tag == "body" and not bodies else "out"
+                bodies += mode == "body"
+            elif mode in ("p", "title"):
+                mode = "part"
+            elif mode == "body":
+                if tag == "p":
+                    mode = "p"
+                elif tag == "title":
+                    mode = "title" if parent == "sec" and chain[0] not in titled else "skip"
+                    titled.update(chain[:1] if mode == "title" else ())
+                elif tag in _SKIPPED:
+                    mode = "skip"
+                elif tag == "sec":
+                    sections, chain = sections + 1, (sections, *chain)
+            modes.append((mode, tag, chain))
+            open_.append(node)
+            continue
+        mode, _, chain = modes.pop()
+        open_.pop()
+        if mode in ("p", "title"):
+            yield mode, chain, _content(node)
+        if mode != "part" and open_:
+            open_[-1].remove(node)
+
+
+def each_paragraph(document: str | None) -> Iterator[tuple[str, int, str]]:
+    """(section title, paragraph number, text) of an article's body in document order; nothing if it can't be parsed.
+
+    Two readings: one finds the titles, wherever in a section they stand, and whether the document is sound; the other gives the paragraphs.
+    """
     try:
-        root = ET.fromstring(document or "")
+        titles = {chain[0]: words for kind, chain, words in _walked(document or "") if kind == "title"}
     except ET.ParseError:
-        return []
-    body = next((n for n in root.iter() if _tag(n) == "body"), None)
-    out: list[tuple[str, int, str]] = []
-    stack = [(body, "")] if body is not None else []
-    while stack:
-        node, section = stack.pop()
-        if _tag(node) == "p":
-            if words := _content(node):
-                out.append((section, len(out), words))
-            continue
-        if _tag(node) == "sec":
-            title = next((c for c in node if _tag(c) == "title"), None)
-            section = _content(title) if title is not None else section
-        stack += [(c, section) for c in reversed(node) if _tag(c) not in _SKIPPED and _tag(c) != "title"]
-    return out
+        return
+    number = 0
+    for kind, chain, words in _walked(document or ""):
+        if kind == "p" and words:
+            yield next((titles[c] for c in chain if c in titles), ""), number, words
+            number += 1
+
+
+def body_paragraphs(document: str | None) -> list[tuple[str, int, str]]:
+    return list(each_paragraph(document))
 
 
 @F.pandas_udf(SENTENCES)

@@ -184,12 +184,12 @@ def dedup_greedy(spark, sf_dir):
 
 @query
 def dedup_batches(spark, sf_dir):
-    """Components of a store that the documents' records come to in three batches."""
+    """Components of a store that the documents' records come to in two batches."""
     records = shapes.papers(spark, sf_dir).select("n", "title", "doi", "pmid")
     store = growing.GrowingStore(spark, _shared_folder(spark, "growing"))
     bounds = records.agg(F.max("n")).first()[0] or 0
-    for i in range(3):
-        store.add(records.where((F.col("n") > bounds * i // 3 - (i == 0)) & (F.col("n") <= bounds * (i + 1) // 3)), f"batch {i}")
+    for name, rows in (("first", records.where(F.col("n") <= bounds // 2)), ("second", records.where(F.col("n") > bounds // 2))):
+        store.add(rows, name)
     return store.records.read().groupBy(F.col("root").alias("component")).agg(F.count("*").alias("n_records"))
 
 
