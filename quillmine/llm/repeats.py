@@ -129,13 +129,14 @@ def _text_pieces(length: int, windows: bool):
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """The suffixes' places, ordered by their first ``depth`` symbols at least, by doubling. Symbols are numbers from 0 to about the text's length."""
+    """The suffixes' places, ordered by their first ``depth`` symbols at least, by doubling. Symbols are numbers from 0, less than 2^31."""
     rank, n, h = text, len(text), 1
+    base = max(n, int(text.max(initial=0))) + 2
     order = np.argsort(rank, kind="stable")
     while h < depth:
         after = np.zeros(n, np.int64)
         after[: n - h] = rank[h:] + 1
-        key = rank * (n + 1) + after
+        key = rank * base + after
         order = np.argsort(key, kind="stable")
         key = key[order]
         fresh = np.zeros(n, np.int64)
