@@ -79,7 +79,7 @@ def _dealt(length: int, gram: int, with_pieces: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = None if not with_pieces else [batch.column(i).to_numpy() for i in (0, 1)]
-            for lo, base, data, offsets in _segments(batch.column(batch.schema.get_field_index("text")), length):
+            for lo, base, data, offsets in _segments(batch.column(batch.schema.get_field_index("_text")), length):
                 found, starts, counts, places = anchors(data, offsets, length, gram)
                 if not len(found):
                     continue
@@ -106,7 +106,7 @@ def _text_pieces(length: int, windows: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             need = batch.column(batch.schema.get_field_index("need"))
-            for i, text in enumerate(batch.column(batch.schema.get_field_index("text"))):
+            for i, text in enumerate(batch.column(batch.schema.get_field_index("_text"))):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 out: list[tuple] = []
                 for piece in need[i].as_py():
@@ -281,13 +281,13 @@ _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Struc
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents (id, text, found spans) with the maximal runs that they lose and the bytes that they keep."""
+    """Documents (_id, _text, found spans) with the maximal runs that they lose and the bytes that they keep."""
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for whole in batches:
         for lo in range(0, whole.num_rows, 500):
             batch = whole.slice(lo, 500)
             removed, kept, sizes = [], [], []
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True):
+            for text, found in zip(batch.column("_text").to_pylist(), batch.column("found").to_pylist(), strict=True):
                 raw, at, left, own = (text or "").encode("utf-8", "surrogatepass"), 0, [], []
                 for s, e in sorted((f["start"], f["end"]) for f in found or ()):
                     if own and s <= own[-1]["end"]:
@@ -300,7 +300,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed.append(own)
                 kept.append(b"".join([*left, raw[at:]]))
                 sizes.append(len(raw))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.binary())], ["id", "n_bytes", "removed", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.binary())], ["_id", "n_bytes", "removed", "kept"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, split: int = SPLIT, symbols: int = SYMBOLS) -> DataFrame:
@@ -313,12 +313,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if length % 8 or not 16 <= length <= 1000 or not 0 < gram < length:
         raise ValueError("length must be a multiple of 8 from 16 to 1000, and gram less")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    able = F.coalesce(F.octet_length("text"), F.lit(0)) >= length
-    keyed = rows.where(able).select(F.xxhash64("id", "text").alias("k1"), F.xxhash64("text").alias("k2"), "id", "text")
-    often = keyed.select("text").mapInArrow(_dealt(length, gram, False), "a long").groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a")
+    # names of their own, so that both uses of the dealt texts have one plan and share one shuffle
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    able = F.coalesce(F.octet_length("_text"), F.lit(0)) >= length
+    keyed = rows.where(able).select(F.xxhash64("_id", "_text").alias("k1"), F.xxhash64("_text").alias("k2"), "_id", "_text")
+    often = keyed.select("_text").mapInArrow(_dealt(length, gram, False), "a long").groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a")
     often = cut(often)  # so that a frequent anchor's pieces can be split in the join
-    pieces = keyed.select("k1", "k2", "text").mapInArrow(_dealt(length, gram, True), "k1 long, k2 long, a long, p long, at long")
+    pieces = keyed.select("k1", "k2", "_text").mapInArrow(_dealt(length, gram, True), "k1 long, k2 long, a long, p long, at long")
     shared = cut(pieces.join(often, "a"))
     unlike = shared.groupBy("a", "p").agg(F.count("*").alias("n"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("at").alias("at"))
     unlike = cut(unlike)
@@ -344,7 +345,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     start = F.shiftright("at", 20)
     spans = shared.join(found, ["a", "p"]).select("k1", "k2", F.explode(F.transform("runs", lambda r: F.struct((start + r["low"]).alias("start"), (start + r["high"] + (length - 1)).alias("end")))).alias("s"))
     lost = spans.groupBy("k1", "k2").agg(F.collect_set("s").alias("found"))
-    long = texts.join(lost, ["k1", "k2"], "left").select("id", "text", "found")
-    short = rows.where(~able).select("id", "text", F.lit(None).cast(_SPANS).alias("found"))
-    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("removed", _SPANS), T.StructField("kept", T.BinaryType())])
-    return long.union(short).mapInArrow(_merged, schema).withColumnRenamed("id", id_col)
+    long = texts.join(lost, ["k1", "k2"], "left").select("_id", "_text", "found")
+    short = rows.where(~able).select("_id", "_text", F.lit(None).cast(_SPANS).alias("found"))
+    schema = T.StructType([T.StructField("_id", rows.schema["_id"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("removed", _SPANS), T.StructField("kept", T.BinaryType())])
+    return long.union(short).mapInArrow(_merged, schema).withColumnRenamed("_id", id_col)

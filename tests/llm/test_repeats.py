@@ -69,7 +69,7 @@ def test_long_texts_are_cut_into_segments(spark, monkeypatch):
     keyed = [(i, t) for i, t in enumerate(texts) if t and len(t.encode()) >= LENGTH]
     import pyarrow as pa
 
-    batch = pa.record_batch([pa.array([i for i, _ in keyed]), pa.array([0] * len(keyed)), pa.array([t for _, t in keyed])], ["k1", "k2", "text"])
+    batch = pa.record_batch([pa.array([i for i, _ in keyed]), pa.array([0] * len(keyed)), pa.array([t for _, t in keyed])], ["k1", "k2", "_text"])
     starts = {}
     for found in repeats._dealt(LENGTH, GRAM, True)(iter([batch])):
         for k, at in zip(found["k1"].to_pylist(), found["at"].to_pylist(), strict=True):
@@ -104,3 +104,10 @@ def test_query(spark):
     for r in got:
         size, runs, kept = want[r.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (size, size - len(kept), len(runs), hashlib.sha256(kept).hexdigest())
+
+
+def test_texts_are_shuffled_once(spark):
+    found = op12_repeats(spark, SF)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1
