@@ -392,7 +392,7 @@ def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
     homes = {dim: homes_of(c, min(tasks, len(c))) for dim, c in centres.items()}
     kinds = "id long, v array<long>, n long, dim int"
     if centres:
-        p, q = (rows.mapInArrow(_placed(centres, homes), f"{kinds}, region int, home int, far double") for rows in (points, queries))
+        p, q = (cut(rows.mapInArrow(_placed(centres, homes), f"{kinds}, region int, home int, far double")) for rows in (points, queries))  # read three times
     else:
         p, q = (rows.withColumns({"region": F.lit(-1), "home": F.lit(-1), "far": F.lit(0.0)}) for rows in (points, queries))
     # a row for each region, REGIONS and one more for each length of vectors: how far it reaches, and how many points it has
