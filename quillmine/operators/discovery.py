@@ -56,6 +56,12 @@ def run_tally(found: DataFrame, known: DataFrame, key: str = "paper_id") -> Data
     return rows.agg(F.count("*").alias("n_papers"), F.count_if(~there).alias("n_new"), F.count_if(there).alias("n_enriched"))
 
 
+def reference_requests(papers: DataFrame, id_col: str = "paper_id") -> DataFrame:
+    """``id_col, source, query`` of the papers whose reference lists can be asked for: those with a pmid, at its source (S43). ``query`` is what a crawl in numbered pages asks."""
+    pmid = ids.strip(ids.text(F.col("pmid")))
+    return papers.where(pmid != "").select(id_col, F.lit("MED").alias("source"), F.concat(F.lit("MED/"), pmid).alias("query"))
+
+
 def references(reviews: DataFrame, body_col: str = "body") -> DataFrame:
     """Cited records of reviews' reference lists (JSON in ``body``): those with a title or identifier; a missing title gets a stand-in."""
     kind = "struct<referenceList:struct<reference:array<struct<id:string,source:string,title:string,doi:string,pubYear:string,journalAbbreviation:string,authorString:string>>>>"

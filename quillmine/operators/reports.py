@@ -22,6 +22,18 @@ def attempt_summary(attempts: DataFrame) -> DataFrame:
     )
 
 
+def observation_summary(observations: DataFrame) -> DataFrame:
+    """One row: observations, distinct organisms, distinct pairs of organism and strain (A13). Empty and missing names are values like others, and one."""
+    organism, strain = F.coalesce("organism_name", F.lit("")), F.coalesce("strain_name", F.lit(""))
+    return observations.agg(F.count("*").alias("n_observations"), F.count_distinct(organism).alias("n_organisms"), F.count_distinct(F.struct(organism.alias("o"), strain.alias("s"))).alias("n_strains"))
+
+
+def titled(observations: DataFrame, papers: DataFrame, width: int = 90, key: str = "paper_id") -> DataFrame:
+    """``observations`` with ``paper_title``, the first ``width`` characters of their papers' titles; empty without a paper (J6). Of papers with one id the smallest title counts."""
+    names = papers.groupBy(key).agg(F.min("title").alias("_title"))
+    return observations.drop("paper_title").join(names, key, "left").withColumn("paper_title", F.left(F.coalesce("_title", F.lit("")), F.lit(width))).drop("_title")
+
+
 def multi_strain_papers(attempts: DataFrame) -> DataFrame:
     """``paper_id, n_strains`` of papers with more than one strain."""
     return attempts.where(F.col("strain") != "").groupBy("paper_id").agg(F.count_distinct("strain").alias("n_strains")).where(F.col("n_strains") > 1)

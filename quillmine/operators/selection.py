@@ -57,3 +57,15 @@ def text_set(text: Column) -> Column:
 def utc_stamp(now: Column) -> Column:
     """A moment as text, to the second, in UTC (F41). The moment is a parameter, so that a run can be repeated."""
     return F.date_format(F.to_utc_timestamp(now, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def last_of_key(rows: DataFrame, key: str, order_col: str) -> DataFrame:
+    """The last row of each key by ``order_col`` (D0): what a store that is read row by row is left with. Of rows that share the last place the largest counts; rows without a key stay out."""
+    others = [c for c in rows.columns if c != key]
+    last = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(F.col(order_col).alias("_order"), *(F.col(c).alias(f"_{i}") for i, c in enumerate(others)))).alias("_r"))
+    return last.select(*(F.col(key) if c == key else F.col(f"_r._{others.index(c)}").alias(c) for c in rows.columns))
+
+
+def in_store_order(papers: DataFrame, key: str = "paper_id") -> DataFrame:
+    """Papers as a store lists them: by year as text, missing ones first, then id (O3)."""
+    return papers.orderBy(F.coalesce(F.col("year").cast("string"), F.lit("")), key)

@@ -235,3 +235,8 @@ ORACLES["cache_warmer"] = """WITH l AS (SELECT doc_id, max(quality) AS quality,
 SELECT d.doc_id AS paper_id, l.doc_id IS NOT NULL AND coalesce(text, '') <> '' AS has_abstract,
   CASE WHEN l.doc_id IS NULL THEN 'no_record' WHEN quality = 1 AND toxic = 0 THEN 'article' WHEN d.doc_id % 2 = 0 THEN 'pdf' ELSE 'abstract' END AS outcome
 FROM documents d LEFT JOIN l ON d.doc_id = l.doc_id"""
+ORACLES["last_events"] = "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events WHERE user_id IS NOT NULL GROUP BY user_id"
+ORACLES["observation_summary"] = "SELECT count(*) AS n_observations, count(DISTINCT p_brand) AS n_organisms, count(DISTINCT p_brand || '|' || p_type) AS n_strains FROM part"
+ORACLES["titled_attempts"] = f"""WITH {_ATTEMPTS} SELECT attempt_id, paper_id, left(coalesce(o_orderpriority || ' ' || o_orderstatus, ''), 6) AS paper_title
+FROM attempts LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON paper_id = o_orderkey"""
+ORACLES["reference_requests"] = "SELECT doc_id AS paper_id, 'MED' AS source, 'MED/' || doc_id AS query FROM documents WHERE lang IS DISTINCT FROM 'de' AND doc_id IS NOT NULL"

@@ -591,3 +591,27 @@ def set_text(spark, sf_dir):
 @query
 def repeated_keys(spark, sf_dir):
     return selection.repeated_keys(table(spark, sf_dir, "orders"), "o_custkey")
+
+
+@query
+def last_events(spark, sf_dir):
+    """A store loaded from the events: the last one of each user stays."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    return selection.last_of_key(rows, "user_id", "event_id")
+
+
+@query
+def observation_summary(spark, sf_dir):
+    return reports.observation_summary(table(spark, sf_dir, "part").select(F.col("p_brand").alias("organism_name"), F.col("p_type").alias("strain_name")))
+
+
+@query
+def titled_attempts(spark, sf_dir):
+    papers = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("paper_id"), F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("title"))
+    return reports.titled(shapes.attempts(spark, sf_dir).select("attempt_id", "paper_id"), papers, 6)
+
+
+@query
+def reference_requests(spark, sf_dir):
+    papers = _docs(spark, sf_dir).select(F.col("doc_id").alias("paper_id"), F.when(F.col("lang") == "de", "").otherwise(F.concat(F.lit(" "), "doc_id")).alias("pmid"))
+    return discovery.reference_requests(papers)

@@ -27,7 +27,8 @@ _ITEM = "query string, place int, item string"
 
 
 def _encoded(value: Column) -> Column:
-    return F.url_encode(value)
+    """As :mod:`paging` writes it, so that both find the same answers in a cache."""
+    return F.replace(F.replace(F.url_encode(value), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
 def _cursor_url(base: str, query: Column, n: Column, page: Column, cursor: Column, most: int) -> Column:
