@@ -17,6 +17,7 @@ An anchor of more than ``split`` unlike pieces would be one task's work; its win
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,28 +103,35 @@ def _unpacked(at: int) -> tuple[int, int, int]:
     return at >> 20, at >> 10 & 1023, at & 1023
 
 
+#: Pieces, or windows, that are sent on at once.
+_SENT = 4096
+
+
 def _text_pieces(length: int, windows: bool):
+    names = ["a", "p", "n", "o", "w1", "w2"] if windows else ["a", "p", "n", "count", "place", "part"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), *([pa.int64()] * 2 if windows else [pa.int32(), pa.binary()])]
+
+    def pieces(raw: bytes, need: pa.StructArray) -> Iterator[tuple]:
+        a, p, n, at = (need.field(name).to_numpy() for name in ("a", "p", "n", "at"))
+        for i in range(len(need)):
+            start, count, place = _unpacked(int(at[i]))
+            part = raw[start : start + count + length - 1]
+            if int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True) != p[i]:
+                continue  # a row whose key is that of another text
+            if not windows:
+                yield a[i], p[i], n[i], count, place, part
+                continue
+            for o in range(count):
+                h = hashlib.blake2b(part[o : o + length], digest_size=16).digest()
+                yield a[i], p[i], n[i], o, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             need = batch.column(batch.schema.get_field_index("need"))
             for i, text in enumerate(batch.column(batch.schema.get_field_index("_text"))):
-                raw = text.as_py().encode("utf-8", "surrogatepass")
-                out: list[tuple] = []
-                for piece in need[i].as_py():
-                    start, count, place = _unpacked(piece["at"])
-                    part = raw[start : start + count + length - 1]
-                    if hashlib.blake2b(part, digest_size=8).digest() != piece["p"].to_bytes(8, "little", signed=True):
-                        continue  # a row whose key is that of another text
-                    if not windows:
-                        out.append((piece["a"], piece["p"], piece["n"], count, place, part))
-                        continue
-                    for o in range(count):
-                        h = hashlib.blake2b(part[o : o + length], digest_size=16).digest()
-                        out.append((piece["a"], piece["p"], piece["n"], o, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()] if windows else [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-                for at in range(0, len(out), 10_000):
-                    columns = zip(*out[at : at + 10_000], strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "p", "n", "o", "w1", "w2"] if windows else ["a", "p", "n", "count", "place", "part"])
+                found = pieces(text.as_py().encode("utf-8", "surrogatepass"), need[i].values)
+                while some := list(itertools.islice(found, _SENT)):  # a long text's pieces are never all held
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], names)
 
     return run
 
