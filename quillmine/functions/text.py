@@ -33,9 +33,16 @@ def unescape(col: pd.Series) -> pd.Series:
     return col.map(html.unescape, na_action="ignore")
 
 
-def clean_title(col: Column) -> Column:
-    """Entities unescaped, then tags dropped."""
-    return F.regexp_replace(unescape(text(col)), "<[^>]+>", "")
+def named(col: Column, entities: dict[str, str]) -> Column:
+    """Those entities as their characters, one after another; all else stays, also an entity without its semicolon."""
+    for entity, char in entities.items():
+        col = F.replace(col, F.lit(entity), F.lit(char))
+    return col
+
+
+def clean_title(col: Column, entities: dict[str, str] | None = None) -> Column:
+    """Entities unescaped, then tags dropped. With ``entities`` only those are, by :func:`named`, and null stays null."""
+    return F.regexp_replace(unescape(text(col)) if entities is None else named(col, entities), "<[^>]+>", "")
 
 
 def abstract_sentences(col: Column) -> Column:

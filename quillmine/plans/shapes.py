@@ -10,6 +10,8 @@ from ..functions.scoring import Phrases
 LEXICON = {"manipulation": ["the ", "der "], "success": ["license"], "failure": ["no ", "nicht"], "strain": ["que ", "stre"]}
 PATTERNS = {"email": r"[\w.]+@[\w.]+", "number": r"\b\d{2,6}(?:\.\d+)?\b"}
 PHRASES = Phrases(technique=["the ", "der ", "que "], failure=["no ", "nicht"], success=["license"], title_tools=["tion"], generic=["stre"], title_methods=["the and"])
+#: The entities of page titles, in the order in which they become characters.
+ENTITIES = {"&quot;": '"', "&copy;": "©", "&middot;": "·", "&lt;": "<", "&amp;": "&"}
 BUCKETS = ["METHODS", "RESULTS", "SUPPLEMENT", "OTHER"]
 
 

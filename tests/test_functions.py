@@ -118,6 +118,20 @@ def test_articles(spark):
     assert html.unescape("&amp;") == "&"
 
 
+def test_title_query_on_odd_titles(spark, tmp_path):
+    """The query's titles are those of its SQL: entities cut off before their semicolon, others than its five, nested ones, no page at all."""
+    import duckdb
+
+    from quillmine.plans.registry import ORACLES, QUERIES
+
+    titles = ["a &amp", "a &quot b&amp", "&am", "&gt;&#39;&nbsp;x", "&amp;lt;i&amp;gt;", "&lt;i>x</i>&copy;&middot;", "&amp;amp;", "a<b\nc>d<>", "&lt;&amp;>y", ""]
+    pages = [f"<html><title>{t}</title><title>2</title>" for t in titles] + ["no title", "", None, "<title>open"]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(map(tuple, QUERIES["html_title_clean"](spark, str(tmp_path)).collect())) == sorted(con.execute(ORACLES["html_title_clean"]).fetchall())
+
+
 def greedy_model(records):
     entities, index = [], {}
     norm = lambda t: re.sub(r"[^a-z0-9]+", " ", t.lower()).strip()
