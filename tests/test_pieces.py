@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quillmine.operators import match, sampling, state
+from quillmine.operators import lineage, match, sampling, state
 
 
 @pytest.mark.parametrize("salt", [4096, 2, 1])
@@ -21,6 +21,31 @@ def test_containing(spark, salt):
     assert match.containing(spark.createDataFrame(tokens, "group string, token string"), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 1 << 18])
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch, most):
+    """Files are small beside the rows that come of them, so Spark's estimate lets all of them be broadcast; only the bounded hashes of pieces may be."""
+    plans = []
+
+    def kept(df):
+        plans.append(df)
+        return lineage.cut(df)
+
+    monkeypatch.setattr(match, "cut", kept)
+    monkeypatch.setattr(match, "BROADCAST_PIECES", most, raising=False)
+    catalog = [(f"GCF_{i}", f"Esch coli{i % 3}", f"Esch coli{i % 3} K-{i % 40}", i) for i in range(200)] + [("GCF_x", "Esch coli1", None, -1), (None, "Esch coli1", "K-1", -2)]
+    rows = [(i, f"Esch coli{i % 4} sp.", f"K-{i % 50} (lab)") for i in range(400)]
+    found = match.catalog_match(spark.createDataFrame(rows, "observation_id int, organism_name string, strain_name string"), spark.createDataFrame(catalog, "accession string, organism string, match_text string, rank int"))
+    want = []
+    for i, name, strain in rows:
+        species = sorted((n, a) for a, o, _, n in catalog if a and o == name[:-4])
+        hit = sorted((n, a) for a, o, m, n in catalog if a and o == name[:-4] and strain[:-6].lower() in (m or "").lower())
+        status = "no_genome_found" if not species else "species_only_match" if not hit else "exact_strain_match" if len(hit) == 1 else "multiple_possible_matches"
+        want.append((i, status, (hit or species or [(0, "")])[0][1], len(hit)))
+    assert sorted((r.observation_id, r.genome_match_status, r.accession, r.n_strain_hits) for r in found.collect()) == want
+    told = [p._jdf.queryExecution().executedPlan().toString() for p in [*plans, found]]
+    assert sum("BroadcastHashJoin" in p for p in told) == (most > 0)
+
+
 def test_greedy_quota_with_gaps_and_seen(spark):
     rng = random.Random(7)
     hits = [(t * 3, f"t{t}", p, rng.randrange(9), rng.randrange(25)) for t in range(6) for p in range(2) for _ in range(30)] + [(None, "none", 0, 0, 99)]
